@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 def as_message(df: DataFrame) -> DataFrame:
@@ -22,6 +22,22 @@ def parse_json(df: DataFrame, column: str, schema: StructType | str, name: str)
     return df.withColumn(name, F.from_json(column, schema))
 
 
+def parsed_rows(
+    df: DataFrame, column: str, schema: str, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """The top-level fields of a JSON text column as columns of their own.
+
+    Each text is parsed once: the fields come out of a generator, and filters
+    on them stay above it, while filters on a parsed struct would move down
+    and parse again. Only ``fields`` are built when given. Broken text gives a
+    row of nulls, an array one row per object.
+    """
+    declared = StructType.fromDDL(schema)
+    wanted = StructType([declared[name] for name in fields or declared.fieldNames()])
+    kept = [name for name in df.columns if name != column]
+    return df.select(*kept, F.inline_outer(F.from_json(column, ArrayType(wanted))))
+
+
 def json_fields(df: DataFrame, column: str, fields: Sequence[str]) -> DataFrame:
     """Named top-level fields of a JSON text column, as text."""
     kept = [name for name in df.columns if name != column]

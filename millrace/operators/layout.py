@@ -134,46 +134,52 @@ def column_statistics(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
-def cut_points(df: DataFrame, column: str, cells: int) -> list:
-    """At most ``cells - 1`` values that cut a column into parts of about equal rows.
+def cut_points(df: DataFrame, columns: Sequence[str], cells: int) -> list[list]:
+    """For each column at most ``cells - 1`` values that cut it into about equal parts.
 
-    Taken from a bounded sample: they steer where rows lie, never which rows.
+    Taken from a sample of about ``SAMPLE_ROWS`` rows: they steer where rows
+    lie, never which rows.
     """
-    rows = df.count()
-    fraction = min(1.0, 2 * SAMPLE_ROWS / max(rows, 1))
-    present = df.select(column).filter(F.col(column).isNotNull())
-    sample = present.sample(fraction, seed=17).limit(2 * SAMPLE_ROWS)
-    values = sorted(row[0] for row in sample.collect())
-    step = len(values) / cells
-    return sorted({values[int(i * step)] for i in range(1, cells)}) if values else []
+    fraction = min(1.0, SAMPLE_ROWS / max(df.count(), 1))
+    sample = df.select(*columns).sample(fraction, seed=17).collect()
+    cuts = []
+    for position in range(len(columns)):
+        values = sorted(row[position] for row in sample if row[position] is not None)
+        picked = {values[len(values) * i // cells] for i in range(1, cells)} if values else set()
+        cuts.append(sorted(picked))
+    return cuts
+
+
+def spread_bits(number: int, stride: int) -> int:
+    """The bits of ``number``, each followed by ``stride - 1`` zero bits."""
+    return sum(
+        1 << (bit * stride) for bit in range(number.bit_length()) if number >> bit & 1
+    )
 
 
-def curve_position(cells: Sequence[Column], bits: int) -> Column:
-    """Place on the Z-order curve: the bits of the cell numbers, interleaved."""
-    position = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for index, cell in enumerate(cells):
-            part = F.shiftright(cell, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            position = position.bitwiseOR(F.shiftleft(part, bit * len(cells) + index))
-    return position
+def quoted(value) -> str:
+    """A value as SQL text."""
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
 
 
-def cluster_key(df: DataFrame, columns: Sequence[str], bits: int = 5) -> list[Column]:
-    """Sort key that keeps rows with close values of ``columns`` together.
+def curve_column(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
+    """Z-order position of each row: its cell numbers, one per column, with bits interleaved.
 
-    One column is its own key. Several are cut into ``2 ** bits`` cells each
-    and ordered along the Z-order curve, then by value.
+    Each column is cut into at most ``2 ** bits`` cells; nulls lie in the first.
     """
-    if len(columns) == 1:
-        return [F.col(columns[0])]
-    cells = []
-    for column in columns:
-        above = [
-            F.coalesce((F.col(column) >= F.lit(cut)).cast("int"), F.lit(0))
-            for cut in cut_points(df, column, 2**bits)
+    types = dict(df.dtypes)
+    position = F.lit(0).cast("bigint")
+    for index, (column, cuts) in enumerate(zip(columns, cut_points(df, columns, 2**bits))):
+        # SQL text, because a Column call per cut makes building the plan slow.
+        cases = [
+            f"WHEN `{column}` >= CAST({quoted(cut)} AS {types[column]}) "
+            f"THEN {spread_bits(cell, len(columns)) << index}L"
+            for cell, cut in reversed(list(enumerate(cuts, start=1)))
         ]
-        cells.append(reduce(lambda a, b: a + b, above, F.lit(0)))
-    return [curve_position(cells, bits), *[F.col(column) for column in columns]]
+        if cases:
+            position = position + F.expr(f"CASE {' '.join(cases)} ELSE 0L END")
+    return position
 
 
 def clustered(
@@ -183,14 +189,23 @@ def clustered(
     partition_by: Sequence[str] = (),
     bits: int = 5,
 ) -> DataFrame:
-    """Rows in ``files`` ranges of the cluster key, sorted inside each.
+    """Rows in ``files`` ranges, close values of ``columns`` together, sorted inside each.
 
-    A hash of the whole row ends the range key, so that even equal values are
+    One column is ordered by value. Several are ordered along the Z-order
+    curve, whose position is computed once per row, not at every comparison. A
+    hash of the whole row ends the range key, so that even equal values are
     spread over several ranges when there are too many for one.
     """
-    key = [F.col(column) for column in partition_by] + cluster_key(df, columns, bits)
-    spread = F.xxhash64(*df.columns)
-    return df.repartitionByRange(files, *key, spread).sortWithinPartitions(*key)
+    marks = {"_spread": F.xxhash64(*df.columns)}
+    if len(columns) > 1:
+        marks["_curve"] = curve_column(df, columns, bits)
+    key = [*partition_by, *(name for name in marks if name == "_curve"), *columns]
+    return (
+        df.withColumns(marks)
+        .repartitionByRange(files, *key, "_spread")
+        .sortWithinPartitions(*key)
+        .drop(*marks)
+    )
 
 
 def compact(

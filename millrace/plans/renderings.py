@@ -48,7 +48,6 @@ def tweet_messages(documents: DataFrame) -> DataFrame:
     return as_message(
         documents.select(
             F.split("text", " ").alias("hashTags"),
-            "text",
             F.col("doc_id").alias("id"),
             (F.col("doc_id") * 1000 + 1).alias("createdAt"),
             "lang",

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.jsontext import parsed_rows
 from millrace.functions.scalars import (
     LOG_MILLIS,
     ZONED_ISO_MILLIS,
@@ -31,6 +34,9 @@ TWEET_SCHEMA = """
         coordinates: string, name: string, placeType: string, fullName: string,
         countryCode: string>
 """
+EDIT_FIELDS = (
+    "wikipedia", "isAnonymous", "namespace", "page", "pageURL", "geocoding", "timestamp", "user"
+)
 LOG_BODY = r"^.*\]\s+(.*)$"
 LOG_ERROR = "% (ERROR) %"
 TIME_START, TIME_LENGTH = 2, 23
@@ -61,17 +67,8 @@ def errors_per_second(
 
 def edits(messages: DataFrame) -> DataFrame:
     """Article edits out of the JSON text in ``value``."""
-    parsed = messages.select(F.from_json("value", EDIT_SCHEMA).alias("json"))
-    return parsed.select(
-        "json.wikipedia",
-        "json.isAnonymous",
-        "json.namespace",
-        "json.page",
-        "json.pageURL",
-        "json.geocoding",
-        parse_ts("json.timestamp", ZONED_ISO_MILLIS).alias("timestamp"),
-        "json.user",
-    )
+    rows = parsed_rows(messages.select("value"), "value", EDIT_SCHEMA, EDIT_FIELDS)
+    return rows.withColumn("timestamp", parse_ts("timestamp", ZONED_ISO_MILLIS))
 
 
 def anonymous_edits(messages: DataFrame) -> DataFrame:
@@ -97,15 +94,17 @@ def anonymous_edits_per_country(
     return window_count(anonymous, "timestamp", width, slide, [country])
 
 
-def tweets(messages: DataFrame) -> DataFrame:
-    """Tweets out of the JSON text in ``value``, fields flattened."""
-    parsed = messages.select(F.from_json("value", TWEET_SCHEMA).alias("json"))
-    return parsed.select(from_epoch_millis("json.createdAt").alias("time"), "json.*")
+def tweets(messages: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """Tweets out of the JSON text in ``value``, fields flattened, ``createdAt`` also as time."""
+    rows = parsed_rows(messages.select("value"), "value", TWEET_SCHEMA, fields)
+    if "createdAt" not in rows.columns:
+        return rows
+    return rows.select(from_epoch_millis("createdAt").alias("time"), "*")
 
 
 def popular_hashtags(messages: DataFrame, k: int = 30) -> DataFrame:
     """The most frequent hashtags in lower case."""
-    tags = tweets(messages).select(F.explode("hashTags").alias("hashTag"))
+    tags = tweets(messages, ["hashTags"]).select(F.explode("hashTags").alias("hashTag"))
     return top_counts(tags.select(F.lower("hashTag").alias("hashTag")), ["hashTag"], k)
 
 

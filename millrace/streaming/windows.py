@@ -31,15 +31,14 @@ def window_count(
 def session_count(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFrame:
     """Rows per session and key: the keys, ``start``, ``end``, ``count``.
 
-    A session ends when the key stays silent for longer than ``gap``. A table
-    is counted in two steps, see :func:`sessions_by_day`.
+    A session ends when the key stays silent for longer than ``gap``, and its
+    end lies one gap after its last row. A table is counted in two steps, see
+    :func:`sessions_of_slots`.
     """
     if not df.isStreaming:
-        return sessions_by_day(df, ts, gap, keys)
+        return sessions_of_slots(df, ts, gap, keys)
     session = F.session_window(ts, gap).alias("session")
-    return session_columns(
-        df.groupBy(*keys, session).agg(F.count("*").alias("count")), keys
-    )
+    return session_columns(df.groupBy(*keys, session).agg(F.count("*").alias("count")), keys)
 
 
 def session_columns(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,24 +50,24 @@ def session_columns(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def sessions_by_day(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFrame:
-    """Sessions built per key and day, then joined across midnight.
+def sessions_of_slots(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFrame:
+    """Sessions joined from slots of one gap's width.
 
-    The first step spreads a busy key over its days. The second sees sessions
-    only, of which a key has a few per day, and gives each its own length as
-    the gap, so that those which touch become one.
+    Rows of a key in one slot are never more than a gap apart, so they share a
+    session and shrink to first time, last time and count before the shuffle.
+    What a busy key sends on is bounded by the slots it is active in, not by
+    its rows. Each slot then counts as a session of its own length, and those
+    that touch become one.
     """
-    per_day = df.groupBy(
-        *keys,
-        F.date_trunc("day", F.col(ts)).alias("_day"),
-        F.session_window(ts, gap).alias("session"),
-    ).agg(F.count("*").alias("count"))
-    parts = session_columns(per_day, keys)
-    micros = F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(
-        F.col("start").cast("timestamp")
+    slots = (
+        df.filter(F.col(ts).isNotNull())
+        .groupBy(*keys, F.window(ts, gap).alias("slot"))
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_rows"))
     )
-    length = F.make_interval(secs=micros.cast("decimal(20,6)") / F.lit(1_000_000))
-    merged = parts.groupBy(*keys, F.session_window("start", length).alias("session")).agg(
-        F.sum("count").alias("count")
+
+    length = F.col("_last") - F.col("_first") + F.expr(f"INTERVAL '{gap}'")
+    seconds = length.cast("interval second").cast("decimal(18,6)")
+    merged = slots.groupBy(*keys, F.session_window("_first", F.make_interval(secs=seconds)).alias("session")).agg(
+        F.sum("_rows").alias("count")
     )
     return session_columns(merged, keys)
