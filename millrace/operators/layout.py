@@ -145,8 +145,8 @@ def cut_points(df: DataFrame, columns: Sequence[str], cells: int) -> list[list]:
     cuts = []
     for position in range(len(columns)):
         values = sorted(row[position] for row in sample if row[position] is not None)
-        picked = {values[len(values) * i // cells] for i in range(1, cells)} if values else set()
-        cuts.append(sorted(picked))
+        picked = {values[len(values) * i // cells] for i in range(1, cells) if values}
+        cuts.append(sorted(picked.difference(values[:1])))
     return cuts
 
 
@@ -167,14 +167,17 @@ def curve_column(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
     """Z-order position of each row: its cell numbers, one per column, with bits interleaved.
 
     Each column is cut into at most ``2 ** bits`` cells; nulls lie in the first.
+    Fewer cells are numbered with gaps, so that every column counts in the
+    leading bits.
     """
+    last = 2**bits - 1
     types = dict(df.dtypes)
     position = F.lit(0).cast("bigint")
     for index, (column, cuts) in enumerate(zip(columns, cut_points(df, columns, 2**bits))):
         # SQL text, because a Column call per cut makes building the plan slow.
         cases = [
             f"WHEN `{column}` >= CAST({quoted(cut)} AS {types[column]}) "
-            f"THEN {spread_bits(cell, len(columns)) << index}L"
+            f"THEN {spread_bits(last * cell // len(cuts), len(columns)) << index}L"
             for cell, cut in reversed(list(enumerate(cuts, start=1)))
         ]
         if cases:
