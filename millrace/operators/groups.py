@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.hashing import row_hash
 from millrace.workspace import materialize
 
 # At most this many hot groups are broadcast; about 100 bytes each.
@@ -46,7 +47,7 @@ def split_hot_groups(
         marked = df.join(side, same, "left")
     else:
         marked = df.withColumn("_pieces", F.lit(hot.first()["_pieces"]))
-    piece = F.pmod(F.xxhash64(*spread_by), F.col("_pieces")).cast("int")
+    piece = F.pmod(row_hash(df, spread_by), F.col("_pieces")).cast("int")
     return marked.select(
         *[df[column] for column in df.columns],
         F.when(F.col("_pieces").isNull(), 0).otherwise(piece).alias(name),

@@ -9,9 +9,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.hashing import row_hash
+
 # Fixed value: advised size of a cached partition.
 PARTITION_BYTES = 200 * 1024 * 1024
 FILE_BYTES = 256 * 1024 * 1024
+BUCKET_BYTES = 1024 * 1024 * 1024
+# Fixed value: the most buckets Spark allows unless told otherwise.
+MAX_BUCKETS = 100_000
 SAMPLE_ROWS = 10_000
 
 
@@ -68,20 +73,40 @@ def write_bucketed(
     table: str,
     buckets: int,
     column: str,
-    path: str | None = None,
+    path: str,
     mode: str = "errorifexists",
 ) -> None:
     """A catalog table bucketed and sorted by ``column``; large buckets get several files."""
-    writer = (
+    (
         df.hint("rebalance", column)
         .write.format("parquet")
         .mode(mode)
         .bucketBy(buckets, column)
         .sortBy(column)
+        .option("path", path)
+        .saveAsTable(table)
     )
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+
+
+def bucket_count(total_bytes: int, slots: int) -> int:
+    """One bucket per slot at least, and more for larger tables."""
+    return min(MAX_BUCKETS, partition_count(total_bytes, slots))
+
+
+def read_bucketed(
+    spark: SparkSession, table: str, path: str, max_bytes: int = BUCKET_BYTES
+) -> DataFrame:
+    """A bucketed table, read by bucket only if no bucket is too large for one task.
+
+    A bucketed scan gives each bucket to a single task, so a key with a large
+    part of all rows would occupy one task for the whole job. Such a table is
+    read as plain files, which are split; grouping then shuffles partial
+    results.
+    """
+    bucket = F.regexp_extract("path", r"_(\d+)\.c\d+[^/]*$", 1)
+    sizes = stored_files(spark, path).groupBy(bucket).agg(F.sum("length").alias("bytes"))
+    largest = sizes.agg(F.max("bytes")).first()[0] or 0
+    return spark.table(table) if largest <= max_bytes else spark.read.parquet(path)
 
 
 def register_files(spark: SparkSession, table: str, path: str) -> DataFrame:
@@ -199,7 +224,7 @@ def clustered(
     hash of the whole row ends the range key, so that even equal values are
     spread over several ranges when there are too many for one.
     """
-    marks = {"_spread": F.xxhash64(*df.columns)}
+    marks = {"_spread": row_hash(df)}
     if len(columns) > 1:
         marks["_curve"] = curve_column(df, columns, bits)
     key = [*partition_by, *(name for name in marks if name == "_curve"), *columns]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators.hashing import row_hash
 from millrace.workspace import materialize
 
 # monotonically_increasing_id keeps the position within a partition below this bit.
@@ -21,7 +22,8 @@ def place_rows(
     df: DataFrame, order_by: Sequence[Column | str] | None
 ) -> tuple[DataFrame, DataFrame]:
     """The stored rows with their partition and position, and each partition's offset."""
-    ordered = df.orderBy(*order_by) if order_by else df
+    # The hash lets rows that tie in the order fall into several ranges.
+    ordered = df.orderBy(*order_by, row_hash(df)) if order_by else df
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     placed = materialize(
         ordered.withColumns({"_part": F.spark_partition_id(), "_pos": within}), "placed-rows"

@@ -33,5 +33,9 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))

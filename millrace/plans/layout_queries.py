@@ -5,11 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import layout, versions
-from millrace.plans.catalogue import query, table
+from millrace.plans.catalogue import query, table, table_path
 from millrace.workspace import fresh_name, fresh_path
 
-BUCKETS = 16
-OVERWRITES = (2, 3, 4)
+OVERWRITES = 3
+
+
+def slots(spark):
+    return spark.sparkContext.defaultParallelism
+
+
+def table_bytes(spark, sf_dir, name):
+    return layout.stored_bytes(spark, table_path(sf_dir, name))
+
+
+def base_partitions(spark, sf_dir, name):
+    """Partitions for a whole table: enough for its size, one per slot at least."""
+    return layout.partition_count(table_bytes(spark, sf_dir, name), slots(spark))
 
 
 def orders_with_year(spark, sf_dir):
@@ -35,9 +47,10 @@ def partitioned_scan(spark, sf_dir):
 def bucketed_agg(spark, sf_dir):
     """Grouping by the bucket column moves no rows."""
     name, path = fresh_name("orders"), fresh_path(spark, "orders-bucketed")
-    layout.write_bucketed(table(spark, sf_dir, "orders"), name, BUCKETS, "o_custkey", path)
+    buckets = layout.bucket_count(table_bytes(spark, sf_dir, "orders"), slots(spark))
+    layout.write_bucketed(table(spark, sf_dir, "orders"), name, buckets, "o_custkey", path)
     return (
-        spark.table(name)
+        layout.read_bucketed(spark, name, path)
         .groupBy("o_custkey")
         .agg(F.count("*").alias("orders"), F.max("o_orderdate").alias("last_order"))
     )
@@ -55,8 +68,9 @@ def overwritten_orders(spark, sf_dir):
     """Orders written several times with different file counts; gives the table's folder."""
     root = fresh_path(spark, "orders-versions")
     orders = table(spark, sf_dir, "orders")
-    for files in OVERWRITES:
-        versions.write_version(orders.repartition(files), root, "WRITE", ["o_orderstatus"])
+    files = base_partitions(spark, sf_dir, "orders")
+    for more in range(OVERWRITES):
+        versions.write_version(orders.repartition(files + more), root, "WRITE", ["o_orderstatus"])
     return root
 
 
@@ -73,7 +87,8 @@ def compacted_lookup(spark, sf_dir):
     """Many small files rewritten along two columns, then a lookup on one of them."""
     root = fresh_path(spark, "orders-compacted")
     orders = table(spark, sf_dir, "orders")
-    versions.write_version(orders.repartition(40), root, "WRITE", ["o_orderpriority"])
+    files = 5 * base_partitions(spark, sf_dir, "orders")
+    versions.write_version(orders.repartition(files), root, "WRITE", ["o_orderpriority"])
     versions.optimize(spark, root, ["o_custkey", "o_orderdate"], ["o_orderpriority"])
     compacted = versions.read_version(spark, root).select(orders.columns)
     return compacted.filter(
@@ -86,7 +101,8 @@ def clustered_table(spark, sf_dir):
     """Nothing is lost when a table is rewritten in clusters."""
     path = fresh_path(spark, "lineitem-clustered")
     lineitem = table(spark, sf_dir, "lineitem")
-    layout.compact(lineitem, path, ["l_shipdate", "l_partkey"], files=8)
+    files = base_partitions(spark, sf_dir, "lineitem")
+    layout.compact(lineitem, path, ["l_shipdate", "l_partkey"], files)
     return spark.read.parquet(path)
 
 
@@ -134,13 +150,28 @@ def column_stats(spark, sf_dir):
     return layout.column_statistics(spark, name).select("col_name", "min", "max", "num_nulls")
 
 
-@query("SELECT CAST(7 AS BIGINT) AS partitions, COUNT(*) AS rows FROM lineitem")
+def profile(df, asked):
+    skew = layout.partition_skew(df)
+    return skew.select(
+        (F.col("partitions") == asked).alias("as_asked"),
+        "rows",
+        (F.col("skew") < 1.5).alias("even"),
+    )
+
+
+PROFILE_SQL = "SELECT true AS as_asked, COUNT(*) AS rows, true AS even FROM lineitem"
+
+
+@query(PROFILE_SQL)
 def partition_profile(spark, sf_dir):
-    spread = table(spark, sf_dir, "lineitem").repartition(7)
-    return layout.partition_skew(spread).select("partitions", "rows")
+    """Repartitioning spreads rows evenly over any number of partitions."""
+    asked = base_partitions(spark, sf_dir, "lineitem") + 1
+    return profile(table(spark, sf_dir, "lineitem").repartition(asked), asked)
 
 
-@query("SELECT CAST(6 AS BIGINT) AS partitions, COUNT(*) AS rows FROM lineitem")
+@query(PROFILE_SQL)
 def coalesced_profile(spark, sf_dir):
-    merged = table(spark, sf_dir, "lineitem").repartition(24).coalesce(6)
-    return layout.partition_skew(merged).select("partitions", "rows")
+    """Coalescing only merges: from three times as many partitions, evenly filled."""
+    asked = base_partitions(spark, sf_dir, "lineitem")
+    spread = table(spark, sf_dir, "lineitem").repartition(3 * asked)
+    return profile(spread.coalesce(asked), asked)

@@ -71,9 +71,9 @@ def json_lines(spark, sf_dir):
 
 @query("SELECT * FROM orders")
 def json_multiline(spark, sf_dir):
-    # One document of some thousand orders per file, so that files stay small.
+    # One document of a bounded number of orders per file, so that files stay moderate.
     texts = as_message(table(spark, sf_dir, "orders"))
-    documents = collect_values(texts, [], "value", max_items=5_000)
+    documents = collect_values(texts, [], "value", max_items=100_000)
     path = fresh_path(spark, "orders-documents")
     document = F.concat(F.lit("[\n"), F.array_join("values", ",\n"), F.lit("\n]"))
     documents.select(document.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
@@ -143,7 +143,9 @@ def catalog_read(spark, sf_dir):
 def replayed(spark, sf_dir, **topics):
     path = fresh_path(spark, "messages")
     table(spark, sf_dir, "events").transform(envelopes).write.parquet(path)
-    stream = messages.replay_messages(spark, path, max_files_per_trigger=4, **topics)
+    # A few files per slot and batch.
+    throttle = 4 * spark.sparkContext.defaultParallelism
+    stream = messages.replay_messages(spark, path, max_files_per_trigger=throttle, **topics)
     kept = stream.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),

@@ -142,7 +142,7 @@ def collect_sorted(spark, sf_dir):
 def collect_whole_table(spark, sf_dir):
     """All order keys in arrays of bounded length, then summed up again."""
     lists = groups.collect_values(
-        table(spark, sf_dir, "orders"), [], "o_orderkey", 1_000, spread_by=["o_orderkey"]
+        table(spark, sf_dir, "orders"), [], "o_orderkey", 10_000, spread_by=["o_orderkey"]
     )
     return lists.agg(
         F.sum(F.size("values")).alias("items"),

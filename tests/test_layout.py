@@ -69,6 +69,27 @@ def test_bucketed_aggregate_has_no_exchange(spark, sales):
     assert len(spark.table(name).inputFiles()) == 4
 
 
+def test_large_bucket_is_read_as_plain_files(spark):
+    """Half of all rows have one key; reading by bucket would give them to one task."""
+    code = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 500)
+    df = spark.range(20_000).select(code.alias("code"), "id")
+    name, path = fresh_name("t"), fresh_path(spark, "t")
+    layout.write_bucketed(df, name, 4, "code", path)
+    sizes = sorted(map(os.path.getsize, parquet_files(path)))
+    by_bucket = layout.read_bucketed(spark, name, path, max_bytes=sizes[-1])
+    plain = layout.read_bucketed(spark, name, path, max_bytes=sizes[-1] - 1)
+    want = df.groupBy("code").count()
+    for read, exchanges in ((by_bucket, 0), (plain, 1)):
+        counted = read.groupBy("code").count()
+        assert plan_of(counted).count("Exchange hashpartitioning") == exchanges
+        assert same_rows(want, counted)
+
+
+def test_bucket_count():
+    assert layout.bucket_count(0, 8) == 8
+    assert layout.bucket_count(10**15, 8) == layout.MAX_BUCKETS
+
+
 def test_register_files_replaces(spark, sales):
     name = fresh_name("t")
     for part in (sales.filter("id < 10"), sales):

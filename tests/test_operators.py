@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import groups, positions, summaries
+from millrace.workspace import settings
 
 
 def skewed(spark, n=1000):
@@ -86,6 +87,22 @@ def test_row_index_is_stable_with_ties(spark):
     assert sorted(first.values()) == list(range(1, 501))
 
 
+def test_rows_that_tie_fall_into_several_ranges(spark):
+    """One value everywhere must not put the whole table into one partition."""
+    df = spark.range(8000).select("id", F.lit(1).alias("same"))
+    # Otherwise Spark merges partitions as small as these.
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        placed, _ = positions.place_rows(df, ["same"])
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert sum(sizes) == 8000 and len(sizes) == 8 and max(sizes) < 2000
+
+
+def test_rows_with_maps_can_be_numbered(spark):
+    df = spark.range(20).select("id", F.create_map(F.lit("a"), "id").alias("m"))
+    got = positions.with_row_index(df, ["id"]).orderBy("row_idx").collect()
+    assert [(r["row_idx"], r["m"]["a"]) for r in got] == [(i + 1, i) for i in range(20)]
+
+
 def test_positional_join_stops_at_the_shorter_side(spark):
     left = spark.range(10).select(F.col("id").alias("a")).repartition(3)
     right = spark.range(100, 107).select(F.col("id").alias("b")).repartition(4)
