@@ -119,6 +119,31 @@ def test_sort_limit_both_ways(spark, monkeypatch, n):
     assert [r["x"] for r in positions.sort_limit(df, ["x"], n).collect()] == want
 
 
+@pytest.mark.parametrize("ascending", [True, False, [False, True]])
+@pytest.mark.parametrize("n", [3, 100, 250, 700])
+def test_sort_limit_with_hot_values_and_nulls(spark, monkeypatch, n, ascending):
+    """A third of all rows ties in the first column, some have none."""
+    monkeypatch.setattr(positions, "SHORT_LIMIT", -1)
+    df = skewed(spark, 1500).select("k", "id")
+    ups = [ascending] * 2 if isinstance(ascending, bool) else ascending
+    order = [F.asc(c) if up else F.desc(c) for c, up in zip(["k", "id"], ups)]
+    want = [tuple(r) for r in df.orderBy(*order).limit(n).collect()]
+    got = positions.sort_limit(df.repartition(5), ["k", "id"], n, ascending)
+    assert [tuple(r) for r in got.collect()] == want
+
+
+def test_front_rows_are_few_and_fall_back(spark):
+    df = spark.range(100_000)
+    assert 1000 <= positions.front_rows(df, "id", True, 1000).count() < 1100
+    assert 1000 <= positions.front_rows(df, "id", False, 1000).count() < 1100
+    texts = df.select(F.col("id").cast("string").alias("t"))
+    assert positions.front_rows(texts, "t", True, 1000).count() == 100_000
+    empty = df.select(F.lit(None).cast("double").alias("x"))
+    assert positions.front_rows(empty, "x", True, 1000).count() == 100_000
+    odd = df.select(F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).alias("x"))
+    assert positions.front_rows(odd, "x", False, 1000).count() >= 1000
+
+
 def test_longest_text(spark):
     df = spark.createDataFrame(
         [("aa", "b", 7), ("zz", None, 5), ("é", "żó", None)], "x string, y string, z int"
