@@ -112,6 +112,18 @@ def table_files(spark: SparkSession, root: str) -> DataFrame:
     return stored_files(spark, f"{root}/data").withColumn("version", version)
 
 
+def file_counts(spark: SparkSession, root: str, retain_hours: float = 0) -> DataFrame:
+    """Files per partition folder: all that are ``listed``, and those a kept version holds."""
+    kept = kept_versions(spark, root, retain_hours).withColumn("is_kept", F.lit(1))
+    folder = F.regexp_extract("path", r"/data/version=\d+/(.*/|)[^/]*$", 1)
+    return (
+        table_files(spark, root)
+        .join(kept, "version", "left")
+        .groupBy(F.rtrim(folder, F.lit("/")).alias("partition"))
+        .agg(F.count("*").alias("listed"), F.count("is_kept").alias("kept"))
+    )
+
+
 def orphan_files(spark: SparkSession, root: str, retain_hours: float = 0) -> DataFrame:
     """Data files that no kept version holds: ``path``, ``length``, ``version``.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import arrays
 from millrace.plans.catalogue import query, table
+from millrace.workspace import fresh_name
 
 # Four whole numbers per line item, the counterpart of readings() below.
 READINGS_SQL = """
@@ -204,6 +205,33 @@ def array_geomean(spark, sf_dir):
     )
 
 
+@query(READINGS_SQL + """
+    SELECT l_orderkey, l_linenumber,
+           CAST(to_json(list_transform(temp, lambda x: x + l_orderkey)) AS VARCHAR) AS plus_key,
+           CAST(to_json(list_filter(temp, lambda x: x > 5)) AS VARCHAR) AS high,
+           len(list_filter(temp, lambda x: x = 45)) > 0 AS has_45,
+           CAST(list_sum(temp) // 4 AS INTEGER) AS average,
+           round(power(list_product(list_transform(temp, lambda x: x + 1)), 0.25), 6) AS geomean
+    FROM readings
+""")
+def array_sql(spark, sf_dir):
+    """The same lambdas in SQL text over a named view."""
+    view = fresh_name("readings")
+    readings(spark, sf_dir).createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT l_orderkey, l_linenumber,
+               to_json(transform(temp, x -> x + l_orderkey)) AS plus_key,
+               to_json(filter(temp, x -> x > 5)) AS high,
+               exists(temp, x -> x = 45) AS has_45,
+               reduce(temp, 0, (acc, x) -> acc + x, acc -> CAST(acc div size(temp) AS INT))
+                   AS average,
+               round(aggregate(temp, named_struct('product', 1.0D, 'n', 0),
+                   (acc, x) -> named_struct('product', acc.product * (x + 1), 'n', acc.n + 1),
+                   acc -> power(acc.product, 1.0D / acc.n)), 6) AS geomean
+        FROM {view}
+    """)
+
+
 @query("""
     SELECT vec_id, round(sqrt(list_sum(list_transform(embedding,
            lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm

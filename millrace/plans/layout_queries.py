@@ -126,6 +126,22 @@ def orphan_files(spark, sf_dir):
     return orphans.groupBy("version").agg((F.count("*") > 0).alias("has_orphans"))
 
 
+@query("""
+    SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS partition, true AS has_kept,
+           true AS has_orphans
+    FROM orders
+""")
+def partition_files(spark, sf_dir):
+    """Files of each partition before and after leaving out those of replaced versions."""
+    root = overwritten_orders(spark, sf_dir)
+    counts = versions.file_counts(spark, root)
+    return counts.select(
+        "partition",
+        (F.col("kept") > 0).alias("has_kept"),
+        (F.col("listed") > F.col("kept")).alias("has_orphans"),
+    )
+
+
 @query("""
     SELECT 'o_orderkey' AS col_name, min(o_orderkey)::VARCHAR AS min, max(o_orderkey)::VARCHAR
            AS max, COUNT(*) FILTER (o_orderkey IS NULL) AS num_nulls FROM orders

@@ -27,14 +27,14 @@ def log_lines(events: DataFrame) -> DataFrame:
 def edit_messages(events: DataFrame) -> DataFrame:
     """Events as article edits in JSON text."""
     user = F.col("user_id")
-    country = F.when(user % 5 != 0, F.concat(F.lit("C"), (user % 20).cast("string")))
+    country = F.when(F.col("value") <= 50, F.concat(F.lit("C"), (user % 20).cast("string")))
     return as_message(
         events.select(
             F.lit("en").alias("wikipedia"),
             F.when(F.col("event_type").isin("click", "view"), "article")
             .otherwise("talk")
             .alias("namespace"),
-            (user % 2 == 0).alias("isAnonymous"),
+            (F.col("value") > 5).alias("isAnonymous"),
             F.concat(F.lit("page-"), F.col("event_id").cast("string")).alias("page"),
             user.cast("string").alias("user"),
             F.struct(country.alias("countryCode3")).alias("geocoding"),
@@ -67,6 +67,18 @@ def envelopes(events: DataFrame) -> DataFrame:
     )
 
 
+def in_envelopes(messages: DataFrame, topic: str) -> DataFrame:
+    """Message texts as envelopes of one topic."""
+    return messages.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        F.spark_partition_id().alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+        F.timestamp_seconds(F.lit(0)).alias("timestamp"),
+    )
+
+
 def page_view_rows(events: DataFrame) -> DataFrame:
     """Events as page-view rows of text time, site and requests."""
     return events.select(

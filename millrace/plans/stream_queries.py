@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 from millrace.plans.catalogue import query, table
 from millrace.plans.renderings import (
     edit_messages,
+    in_envelopes,
     log_lines,
     stored_lines,
     tweet_messages,
 )
 from millrace.sources.ingest import json_file_stream
-from millrace.sources.messages import file_stream, line_stream
+from millrace.sources.messages import (
+    file_stream,
+    line_stream,
+    replay_messages,
+    with_text_value,
+)
 from millrace.streaming import jobs, sinks, windows
 from millrace.workspace import fresh_name, fresh_path
 
@@ -106,7 +112,7 @@ EDITS_SQL = """
     WITH anonymous AS (
         SELECT date_trunc('second', ts) AS t, 'C' || (user_id % 20) AS "countryCode3"
         FROM events
-        WHERE event_type IN ('click', 'view') AND user_id % 2 = 0 AND user_id % 5 <> 0),
+        WHERE event_type IN ('click', 'view') AND value > 5 AND value <= 50),
     placed AS (
         SELECT "countryCode3", unnest([t, t - INTERVAL 500 MILLISECOND]) AS start FROM anonymous)
     SELECT start, start + INTERVAL 1 SECOND AS "end", "countryCode3", COUNT(*) AS count
@@ -191,8 +197,11 @@ def stream_edits_sliding(spark, sf_dir):
 @query(HASHTAG_SQL)
 def stream_topk(spark, sf_dir):
     """Complete mode, since a stream cannot be sorted otherwise; 30 rows in memory."""
-    path = stored_lines(tweet_messages(table(spark, sf_dir, "documents")), "tweets")
-    return sinks.run_to_memory(jobs.popular_hashtags(line_stream(spark, path)))
+    path = fresh_path(spark, "tweets")
+    tweets = tweet_messages(table(spark, sf_dir, "documents"))
+    in_envelopes(tweets, "tweets").write.parquet(path)
+    stream = with_text_value(replay_messages(spark, path, subscribe="tweets"))
+    return sinks.run_to_memory(jobs.popular_hashtags(stream))
 
 
 @query("SELECT event_id, user_id, event_type, value, props, true AS has_lineage FROM events")

@@ -46,10 +46,10 @@ def drop_columns(spark, sf_dir):
     )
 
 
-@query("SELECT * FROM orders WHERE o_orderstatus = 'F' AND (o_custkey % 2 = 0) = true")
+@query("SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000")
 def filter_eq(spark, sf_dir):
-    even = F.col("o_custkey") % 2 == 0
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").filter(even)
+    orders = table(spark, sf_dir, "orders").withColumn("large", F.col("o_totalprice") > 250_000)
+    return orders.filter(F.col("o_orderstatus") == "F").filter(F.col("large")).drop("large")
 
 
 @query("SELECT p_partkey FROM part WHERE p_name LIKE '%ed%'")

@@ -13,16 +13,25 @@ from millrace.sources.messages import file_stream
 
 
 def remembered_schema(
-    spark: SparkSession, path: str, store: str, sampling_ratio: float = 1.0
+    spark: SparkSession,
+    path: str,
+    store: str,
+    infer_types: bool = True,
+    sampling_ratio: float = 1.0,
 ) -> StructType:
-    """The schema kept at ``store``; the first call infers it from ``path`` and keeps it."""
+    """The schema kept at ``store``; the first call infers it from ``path`` and keeps it.
+
+    Without ``infer_types`` every value is a string, which later files of
+    other types cannot contradict.
+    """
     try:
         kept = spark.read.text(store, wholetext=True).first()
     except AnalysisException:
         kept = None
     if kept is not None:
         return StructType.fromJson(json.loads(kept[0]))
-    schema = spark.read.option("samplingRatio", sampling_ratio).json(path).schema
+    reader = spark.read.option("samplingRatio", sampling_ratio)
+    schema = reader.option("primitivesAsString", not infer_types).json(path).schema
     spark.createDataFrame([(schema.json(),)], "value string").write.mode("overwrite").text(store)
     return schema
 
@@ -41,9 +50,10 @@ def json_file_stream(
     path: str,
     store: str,
     max_files_per_trigger: int | None = None,
+    infer_types: bool = True,
 ) -> DataFrame:
     """New JSON files of a folder as a stream with lineage columns."""
-    schema = remembered_schema(spark, path, store)
+    schema = remembered_schema(spark, path, store, infer_types)
     stream = file_stream(
         spark, path, schema, format="json", max_files_per_trigger=max_files_per_trigger
     )

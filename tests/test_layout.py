@@ -166,6 +166,12 @@ def test_versions_history_and_orphans(spark, sales):
     assert {r["path"] for r in orphans} < on_disk
     assert versions.orphan_files(spark, root, retain_hours=1).isEmpty()
 
+    counts = {r["partition"]: r for r in versions.file_counts(spark, root).collect()}
+    assert set(counts) == {"country=Sweden", *(f"country=C{i}" for i in range(5))}
+    assert sum(r["listed"] for r in counts.values()) == 72 + log[3]["n_files"]
+    assert sum(r["kept"] for r in counts.values()) == log[3]["n_files"]
+    assert all(r["kept"] < r["listed"] for r in counts.values())
+
 
 def test_unfinished_write_is_an_orphan_and_not_read(spark, sales):
     root = fresh_path(spark, "t")
@@ -220,6 +226,23 @@ def test_cache_and_discard(spark):
     layout.discard(df)
 
 
+def test_cluster_session_needs_a_shared_folder():
+    class Context:
+        master = "spark://elsewhere"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = {}
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        shared_folder(Session())
+    Session.conf = {"spark.checkpoint.dir": "hdfs://name/scratch/"}
+    assert shared_folder(Session()) == "hdfs://name/scratch"
+
+
 def test_settings_are_put_back(spark):
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)

@@ -183,6 +183,8 @@ def test_schema_is_remembered(spark, tmp_path):
     spark.range(3).withColumn("more", F.lit("x")).write.mode("append").json(folder)
     assert remembered_schema(spark, folder, store) == first
     assert first.simpleString() == "struct<id:bigint>"
+    texts = remembered_schema(spark, folder, str(tmp_path / "texts"), infer_types=False)
+    assert texts.simpleString() == "struct<id:string,more:string>"
 
 
 def test_message_replay_and_topics(spark, small, tmp_path):
