@@ -22,7 +22,15 @@ def state_partitions(spark: SparkSession) -> int:
 
 
 def stream_settings(spark: SparkSession, partitions: int | None) -> dict[str, str]:
-    return {STATE_STORE: ROCKSDB, WIDTH: str(partitions or state_partitions(spark))}
+    """Settings a query takes over when it starts."""
+    return {
+        WIDTH: str(partitions or state_partitions(spark)),
+        STATE_STORE: ROCKSDB,
+        # Each batch uploads its changes, not whole snapshots.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Sessions of a busy key are joined within each task before the shuffle.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    }
 
 
 def start_memory(
