@@ -15,8 +15,9 @@ from millrace.operators.hashing import row_hash
 PARTITION_BYTES = 200 * 1024 * 1024
 FILE_BYTES = 256 * 1024 * 1024
 BUCKET_BYTES = 1024 * 1024 * 1024
-# Fixed value: the most buckets Spark allows unless told otherwise.
-MAX_BUCKETS = 100_000
+# Beyond this a shuffle is busy with its many small blocks; also well below the
+# number of buckets that Spark allows.
+MAX_PARTITIONS = 50_000
 SAMPLE_ROWS = 10_000
 
 
@@ -36,8 +37,12 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 
 def partition_count(total_bytes: int, slots: int, target_bytes: int = PARTITION_BYTES) -> int:
-    """As few partitions as the target size allows, but one per slot at least."""
-    return max(slots, math.ceil(total_bytes / target_bytes))
+    """As few partitions as the target size allows, but one per slot at least.
+
+    Very large tables get larger partitions rather than more of them; the sorts
+    and aggregates inside spill.
+    """
+    return max(slots, min(MAX_PARTITIONS, math.ceil(total_bytes / target_bytes)))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:
@@ -88,11 +93,6 @@ def write_bucketed(
     )
 
 
-def bucket_count(total_bytes: int, slots: int) -> int:
-    """One bucket per slot at least, and more for larger tables."""
-    return min(MAX_BUCKETS, partition_count(total_bytes, slots))
-
-
 def read_bucketed(
     spark: SparkSession, table: str, path: str, max_bytes: int = BUCKET_BYTES
 ) -> DataFrame:
@@ -213,11 +213,11 @@ def curve_column(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
 def clustered(
     df: DataFrame,
     columns: Sequence[str],
-    files: int,
+    ranges: int,
     partition_by: Sequence[str] = (),
     bits: int = 5,
 ) -> DataFrame:
-    """Rows in ``files`` ranges, close values of ``columns`` together, sorted inside each.
+    """Rows in ``ranges`` partitions, close values of ``columns`` together, sorted inside each.
 
     One column is ordered by value. Several are ordered along the Z-order
     curve, whose position is computed once per row, not at every comparison. A
@@ -230,7 +230,7 @@ def clustered(
     key = [*partition_by, *(name for name in marks if name == "_curve"), *columns]
     return (
         df.withColumns(marks)
-        .repartitionByRange(files, *key, "_spread")
+        .repartitionByRange(ranges, *key, "_spread")
         .sortWithinPartitions(*key)
         .drop(*marks)
     )
@@ -240,20 +240,25 @@ def compact(
     df: DataFrame,
     path: str,
     cluster_by: Sequence[str],
-    files: int,
+    ranges: int,
     partition_by: Sequence[str] = (),
+    rows_per_file: int = 0,
 ) -> None:
     """Rewrite a table into few files whose value ranges hardly overlap.
 
     A lookup on the cluster columns then skips most files and row groups by
-    their least and greatest values.
+    their least and greatest values. A range with more than ``rows_per_file``
+    rows is cut into several files, each a stretch of the sorted rows; 0 sets
+    no limit.
     """
-    writer = clustered(df, cluster_by, files, partition_by).write
+    writer = clustered(df, cluster_by, ranges, partition_by).write
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def compact_files(total_bytes: int, target_bytes: int = FILE_BYTES) -> int:
-    """Number of files of about the target size."""
-    return max(1, math.ceil(total_bytes / target_bytes))
+def compact_files(total_bytes: int, rows: int, target_bytes: int = FILE_BYTES) -> tuple[int, int]:
+    """Number of ranges, and rows per file, for files of about the target size."""
+    files = max(1, math.ceil(total_bytes / target_bytes))
+    return min(files, MAX_PARTITIONS), math.ceil(rows / files)

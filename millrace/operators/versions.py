@@ -15,9 +15,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.layout import (
+    FILE_BYTES,
     clustered,
     compact_files,
-    stored_bytes,
     stored_files,
 )
 
@@ -53,14 +53,18 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
 
 
 def write_version(
-    df: DataFrame, root: str, operation: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    operation: str,
+    partition_by: Sequence[str] = (),
+    rows_per_file: int = 0,
 ) -> int:
     """Write the next version of a table and record it; gives the version number."""
     spark = df.sparkSession
     last = live_version(spark, root)
     version = 0 if last is None else last + 1
     path = version_path(root, version)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -83,14 +87,18 @@ def optimize(
     root: str,
     cluster_by: Sequence[str],
     partition_by: Sequence[str] = (),
-    files: int | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> int:
-    """Write the live version again in few clustered files."""
+    """Write the live version again in clustered files of about the given size."""
     df = read_version(spark, root)
-    if files is None:
-        files = compact_files(stored_bytes(spark, version_path(root, live_version(spark, root))))
+    live = history(spark, root).orderBy(F.desc("version")).first()
+    ranges, rows_per_file = compact_files(live["n_bytes"], live["n_rows"], file_bytes)
     return write_version(
-        clustered(df, cluster_by, files, partition_by), root, "OPTIMIZE", partition_by
+        clustered(df, cluster_by, ranges, partition_by),
+        root,
+        "OPTIMIZE",
+        partition_by,
+        rows_per_file,
     )
 
 

@@ -47,7 +47,7 @@ def partitioned_scan(spark, sf_dir):
 def bucketed_agg(spark, sf_dir):
     """Grouping by the bucket column moves no rows."""
     name, path = fresh_name("orders"), fresh_path(spark, "orders-bucketed")
-    buckets = layout.bucket_count(table_bytes(spark, sf_dir, "orders"), slots(spark))
+    buckets = base_partitions(spark, sf_dir, "orders")
     layout.write_bucketed(table(spark, sf_dir, "orders"), name, buckets, "o_custkey", path)
     return (
         layout.read_bucketed(spark, name, path)
@@ -87,7 +87,7 @@ def compacted_lookup(spark, sf_dir):
     """Many small files rewritten along two columns, then a lookup on one of them."""
     root = fresh_path(spark, "orders-compacted")
     orders = table(spark, sf_dir, "orders")
-    files = 5 * base_partitions(spark, sf_dir, "orders")
+    files = 2 * base_partitions(spark, sf_dir, "orders")
     versions.write_version(orders.repartition(files), root, "WRITE", ["o_orderpriority"])
     versions.optimize(spark, root, ["o_custkey", "o_orderdate"], ["o_orderpriority"])
     compacted = versions.read_version(spark, root).select(orders.columns)
@@ -101,8 +101,12 @@ def clustered_table(spark, sf_dir):
     """Nothing is lost when a table is rewritten in clusters."""
     path = fresh_path(spark, "lineitem-clustered")
     lineitem = table(spark, sf_dir, "lineitem")
-    files = base_partitions(spark, sf_dir, "lineitem")
-    layout.compact(lineitem, path, ["l_shipdate", "l_partkey"], files)
+    ranges = base_partitions(spark, sf_dir, "lineitem")
+    _, rows_per_file = layout.compact_files(
+        table_bytes(spark, sf_dir, "lineitem"), lineitem.count()
+    )
+    columns = ["l_shipdate", "l_partkey"]
+    layout.compact(lineitem, path, columns, ranges, rows_per_file=rows_per_file)
     return spark.read.parquet(path)
 
 

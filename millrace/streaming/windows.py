@@ -64,10 +64,8 @@ def sessions_of_slots(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) ->
         .groupBy(*keys, F.window(ts, gap).alias("slot"))
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_rows"))
     )
-
     length = F.col("_last") - F.col("_first") + F.expr(f"INTERVAL '{gap}'")
     seconds = length.cast("interval second").cast("decimal(18,6)")
-    merged = slots.groupBy(*keys, F.session_window("_first", F.make_interval(secs=seconds)).alias("session")).agg(
-        F.sum("_rows").alias("count")
-    )
+    session = F.session_window("_first", F.make_interval(secs=seconds)).alias("session")
+    merged = slots.groupBy(*keys, session).agg(F.sum("_rows").alias("count"))
     return session_columns(merged, keys)

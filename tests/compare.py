@@ -1,4 +1,4 @@
-"""Compare the queries with their SQL counterparts: ``python tests/compare.py [folder] [name ...]``."""
+"""Compare queries with their SQL: ``python tests/compare.py [folder] [query ...]``."""
 
 from __future__ import annotations
 
@@ -82,8 +82,8 @@ def main() -> int:
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
-        print(f"{'FAIL' if problem else 'ok':5}{time.time() - started:7.2f}s {name} {problem or ''}",
-              flush=True)
+        mark, took = "FAIL" if problem else "ok", time.time() - started
+        print(f"{mark:5}{took:7.2f}s {name} {problem or ''}", flush=True)
     print(f"{len(chosen) - bad} of {len(chosen)} agree")
     return 1 if bad else 0
 

@@ -223,7 +223,8 @@ def test_json_fields_and_broken_text(spark):
     parsed = jsontext.parse_json(df, "t", "b int", "p").orderBy("id").select("p.b").collect()
     assert [r["b"] for r in parsed] == [1, None, None, None]
     rows = jsontext.parsed_rows(df, "t", "b int, c int").orderBy("id").collect()
-    assert [tuple(r) for r in rows] == [(1, 1, None), (2, None, 1), (3, None, None), (4, None, None)]
+    want = [(1, 1, None), (2, None, 1), (3, None, None), (4, None, None)]
+    assert [tuple(r) for r in rows] == want
     assert jsontext.parsed_rows(df, "t", "b int, c int", ["c"]).columns == ["id", "c"]
 
 

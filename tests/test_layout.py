@@ -85,11 +85,6 @@ def test_large_bucket_is_read_as_plain_files(spark):
         assert same_rows(want, counted)
 
 
-def test_bucket_count():
-    assert layout.bucket_count(0, 8) == 8
-    assert layout.bucket_count(10**15, 8) == layout.MAX_BUCKETS
-
-
 def test_register_files_replaces(spark, sales):
     name = fresh_name("t")
     for part in (sales.filter("id < 10"), sales):
@@ -104,7 +99,7 @@ def test_register_files_replaces(spark, sales):
 @pytest.mark.parametrize("columns", [["code"], ["code", "id"], ["country", "code", "id"]])
 def test_compaction_keeps_rows_and_narrows_files(spark, sales, columns):
     path = fresh_path(spark, "t")
-    layout.compact(sales.repartition(40), path, columns, files=8)
+    layout.compact(sales.repartition(40), path, columns, ranges=8)
     back = spark.read.parquet(path)
     assert same_rows(sales, back)
     files = back.groupBy(F.col("_metadata.file_path")).agg(
@@ -147,7 +142,7 @@ def test_versions_history_and_orphans(spark, sales):
         versions.read_version(spark, root)
     for files in (3, 4, 5):
         versions.write_version(sales.repartition(files), root, "WRITE", ["country"])
-    assert versions.optimize(spark, root, ["code"], ["country"], files=4) == 3
+    assert versions.optimize(spark, root, ["code"], ["country"]) == 3
     assert same_rows(sales, versions.read_version(spark, root))
     assert same_rows(sales, versions.read_version(spark, root, 0))
 
@@ -156,7 +151,7 @@ def test_versions_history_and_orphans(spark, sales):
         (0, "WRITE", 20_000), (1, "WRITE", 20_000), (2, "WRITE", 20_000), (3, "OPTIMIZE", 20_000)
     ]
     assert [r["n_files"] for r in log[:3]] == [18, 24, 30]
-    assert log[3]["n_files"] <= 9
+    assert log[3]["n_files"] == 6
     assert [r["committed_at"] for r in log] == sorted(r["committed_at"] for r in log)
 
     orphans = versions.orphan_files(spark, root).collect()
@@ -203,7 +198,34 @@ def test_partition_rule(spark):
     path = fresh_path(spark, "t")
     spark.range(1000).write.parquet(path)
     assert layout.stored_bytes(spark, path) == sum(map(os.path.getsize, parquet_files(path)))
-    assert layout.compact_files(0) == 1
+    assert layout.partition_count(10**15, 8) == layout.MAX_PARTITIONS
+    assert layout.partition_count(10**15, 10**6) == 10**6
+    assert layout.compact_files(0, 0) == (1, 0)
+    assert layout.compact_files(1000, 90, target_bytes=300) == (4, 23)
+    assert layout.compact_files(10**9, 10**6, target_bytes=1000) == (layout.MAX_PARTITIONS, 1)
+
+
+def test_wide_ranges_are_cut_into_sorted_files(spark, sales):
+    path = fresh_path(spark, "t")
+    layout.compact(sales, path, ["id"], ranges=2, rows_per_file=3000)
+    back = spark.read.parquet(path)
+    assert same_rows(sales, back)
+    files = back.groupBy(F.col("_metadata.file_path")).agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")
+    )
+    ends = files.orderBy("low").collect()
+    assert len(ends) >= 7 and max(r["n"] for r in ends) <= 3000
+    assert all(a["high"] < b["low"] for a, b in zip(ends, ends[1:]))
+
+
+def test_empty_table_can_be_a_version(spark, sales):
+    root = fresh_path(spark, "t")
+    versions.write_version(sales.filter("id < 0"), root, "WRITE")
+    assert versions.history(spark, root).first()["n_rows"] == 0
+    assert versions.read_version(spark, root).count() == 0
+    versions.write_version(sales.filter("id < 0"), root, "WRITE", ["country"])
+    assert versions.history(spark, root).count() == 2
+    assert versions.orphan_files(spark, root).count() == 1
 
 
 def test_statistics(spark, sales):
