@@ -56,3 +56,8 @@ def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     if home not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, home]))
     return df.mapInArrow(run, schema)
+
+
+def once(**columns: Column) -> Column:
+    """A generator of one struct row: what it holds is computed once per row, however often it is used."""
+    return F.explode(F.array(F.struct(*[column.alias(name) for name, column in columns.items()])))
