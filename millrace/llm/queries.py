@@ -6,17 +6,43 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, html_text, quality, simhash, toxicity
+from millrace.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    licenses,
+    neighbours,
+    quality,
+    reputation,
+    secrets,
+    simhash,
+    toxicity,
+)
 from millrace.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
+#: Host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+NEAREST, QUERY_STEP = 20, 20
+
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages)).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,5 +62,31 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks)
 
 
-QUERIES = {query.__name__: query for query in (op1_html, op3_quality, op4_toxicity, op5_simhash, op6_bpe)}
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, lambda vec_id: vec_id % QUERY_STEP == 0, NEAREST)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    texts = html_text.extract(pages, html_text.fit(pages), ["page_id"])
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return reputation.judge(pages, texts, docs, labels, URL_RULES)
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_html, op2_secrets, op3_quality, op4_toxicity, op5_simhash, op6_bpe, op7_neighbours,
+        op8_decontamination, op9_urls, op10_licenses,
+    )
+}
 ORACLES: dict[str, str] = {}
