@@ -12,6 +12,7 @@ from millrace.llm import (
     html_text,
     licenses,
     neighbours,
+    oracles,
     quality,
     reputation,
     secrets,
@@ -89,4 +90,5 @@ QUERIES = {
         op8_decontamination, op9_urls, op10_licenses,
     )
 }
-ORACLES: dict[str, str] = {}
+#: The other operators train models, search approximately, or hash and cut in ways SQL lacks.
+ORACLES = {"op8_decontamination": oracles.DECONTAMINATION, "op10_licenses": oracles.LICENSES}
