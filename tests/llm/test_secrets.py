@@ -1,0 +1,61 @@
+"""Findings and redaction against the planted tokens."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from millrace.llm import secrets
+from millrace.llm.queries import QUERIES
+
+PLANTED = re.compile(r"(?i)(?<![A-Za-z0-9+/_=-])[0-9a-f]{40}(?![A-Za-z0-9+/_=-])")
+MEDIUM = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return secrets.fit(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
+
+
+def test_query_finds_planted_tokens_only(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
+    want = {(k, m.start(), 40, hashlib.sha256(m[0].encode()).hexdigest()) for k, t in docs.items() for m in PLANTED.finditer(t)}
+    rows = QUERIES["op2_secrets"](spark, MEDIUM).collect()
+    assert {(r["doc_id"], r["start"], r["length"], r["sha256"]) for r in rows} == want and len(rows) == len(want) > 0
+
+
+def test_redaction_changes_secrets_only(spark, scanner):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").selectExpr("*", "1 as found", "2 as head", "3 as p")
+    clean = secrets.redact(docs, scanner)
+    assert clean.columns == docs.columns and clean.dtypes == docs.dtypes
+    was = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for row in clean.collect():
+        assert row["text"] == PLANTED.sub(secrets.MARK, was[row["doc_id"]])
+        assert row["n_chars"] == len(row["text"])
+
+
+def test_odd_texts(spark, scanner):
+    token = 'token = "abcdef0123456789abcdef0123456789abcd"'
+    rows = [(1, None, 7), (2, "", 0), (3, token, 9), (3, token, 9), (None, f"é {token}", 1), (4, "a" * 100_000, 1),
+            (5, "/usr/share/doc/readme-file and https://example.com/some/long/path", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    found = sorted((tuple(r[:3]) for r in secrets.scan(docs, scanner).collect()), key=repr)
+    assert found == sorted([(3, 9, 36), (3, 9, 36), (None, 11, 36)], key=repr)
+    texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in secrets.redact(docs, scanner).collect()}
+    assert texts[1] == (None, 7) and texts[2] == ("", 0) and texts[3] == ('token = "[SECRET]"', 18)
+    assert texts[4] == ("a" * 100_000, 100_000)
+
+
+def test_empty_table_and_one_label(spark):
+    docs = spark.createDataFrame([(1, 'token = "abcdef0123456789abcdef"')], "doc_id long, text string")
+    empty = secrets.fit(docs.limit(0))
+    assert empty.trees is None and secrets.scan(docs.limit(0), empty).count() == 0
+    assert secrets.redact(docs.limit(0), empty).count() == 0
+    assert secrets.scan(docs, secrets.fit(docs)).count() == 1
+
+
+def test_plan_is_one_pass_without_python(spark, scanner):
+    plan = secrets.scan(spark.read.parquet(f"{MEDIUM}/documents.parquet"), scanner)
+    assert not re.search("Exchange|Python|Arrow", plan._jdf.queryExecution().executedPlan().toString())
