@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -44,6 +44,13 @@ def json_fields(df: DataFrame, column: str, fields: Sequence[str]) -> DataFrame:
     return df.select(*kept, F.json_tuple(column, *fields).alias(*fields))
 
 
-def schema_of_sample(text: str) -> Column:
-    """The schema of a sample message, to hand on to ``from_json``."""
-    return F.schema_of_json(F.lit(text))
+def schema_of_messages(df: DataFrame, column: str) -> StructType:
+    """The schema of all JSON objects of a text column, to hand on to ``from_json``.
+
+    Every message is read, so a field that only few have is part of it. One row reaches the
+    driver. Broken texts and nulls do not count; without any object there are no fields.
+    """
+    merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("schema")).first()[0]
+    if not merged or not merged.startswith("OBJECT"):
+        return StructType([])
+    return StructType.fromDDL(f"j {merged.replace('OBJECT<', 'STRUCT<')}")["j"].dataType

@@ -27,6 +27,7 @@ def from_epoch_millis(millis: Column | str) -> Column:
     return F.timestamp_millis(millis)
 
 
+# Fixed value: the characters that an identifier keeps, a-z, A-Z and 0-9.
 def identifier(text: Column | str) -> Column:
     """Text with everything but ASCII letters and digits turned into underscores."""
     return F.regexp_replace(text, "[^a-zA-Z0-9]", "_")

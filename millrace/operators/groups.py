@@ -1,88 +1,82 @@
-"""Collecting the values of a group without letting a hot group grow into one row."""
+"""Collecting the values of groups as sorted arrays of a stated length."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.hashing import row_hash
+from millrace.operators.positions import in_ranges
 from millrace.workspace import materialize
 
-# At most this many hot groups are broadcast; about 100 bytes each.
-BROADCAST_GROUPS = 100_000
 
+def same_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Equal in all columns, null with null."""
+    pairs = [left[c].eqNullSafe(right[c]) for c in columns]
+    return reduce(lambda a, b: a & b, pairs)
 
-def split_hot_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    max_rows: int,
-    spread_by: Sequence[str],
-    name: str = "split",
-) -> DataFrame:
-    """Number the pieces of each group that has more than ``max_rows`` rows.
 
-    Other groups get piece 0. The piece depends on a hash of ``spread_by``, so
-    a task that runs again puts each row where it was; choose columns that tell
-    the rows of a group apart.
+def with_start(counted: DataFrame, keys: Sequence[str], value: str, ranges: int | None) -> DataFrame:
+    """Add ``_start``: how many values of the same group come before each value's first.
+
+    ``counted`` has one row for each different value of a group, with its number in ``_n``,
+    so a value that fills a group is a single row. Rows are stored in ranges of key and
+    value; sums per range and group, one small row each, say where a range starts.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    pieces = F.ceil(F.col("_rows") / max_rows).cast("int").alias("_pieces")
-    hot = materialize(
-        counts.filter(F.col("_rows") > max_rows).select(
-            *[F.col(key).alias(f"_hot_{key}") for key in keys], pieces
-        ),
-        "hot-groups",
+    order = [*keys, value]
+    placed = materialize(
+        in_ranges(counted, order, ranges).withColumn("_part", F.spark_partition_id()), "values"
+    )
+    part_and_keys = ["_part", *keys]
+    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    sums = placed.groupBy(*part_and_keys).agg(F.sum("_n").alias("_sum")).withColumn(
+        "_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))
     )
-    n_hot = hot.count()
-    if n_hot == 0:
-        return df.withColumn(name, F.lit(0))
-    side = F.broadcast(hot) if n_hot <= BROADCAST_GROUPS else hot
-    if keys:
-        same = reduce(
-            lambda a, b: a & b, [df[key].eqNullSafe(side[f"_hot_{key}"]) for key in keys]
-        )
-        marked = df.join(side, same, "left")
-    else:
-        marked = df.withColumn("_pieces", F.lit(hot.first()["_pieces"]))
-    piece = F.pmod(row_hash(df, spread_by), F.col("_pieces")).cast("int")
-    return marked.select(
-        *[df[column] for column in df.columns],
-        F.when(F.col("_pieces").isNull(), 0).otherwise(piece).alias(name),
+    inside = W.partitionBy(*part_and_keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    local = placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return local.join(sums, same_group(local, sums, part_and_keys)).select(
+        *[local[c] for c in (*keys, value, "_n")], (F.col("_before") + F.col("_inside")).alias("_start")
     )
 
 
+def in_chunks(
+    counted: DataFrame, keys: Sequence[str], value: str, items: int, ranges: int | None
+) -> DataFrame:
+    placed = with_start(counted, keys, value, ranges)
+    end = F.col("_start") + F.col("_n")
+    chunks = F.sequence(F.expr(f"_start div {items}"), F.expr(f"(_start + _n - 1) div {items}"))
+    pieces = placed.withColumn("chunk", F.explode(chunks)).withColumn(
+        "_here",
+        F.least(end, (F.col("chunk") + 1) * items) - F.greatest("_start", F.col("chunk") * items),
+    )
+    repeated = F.transform(
+        F.sort_array(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_here").cast("int").alias("n")))),
+        lambda x: F.array_repeat(x["v"], x["n"]),
+    )
+    return pieces.groupBy(*keys, "chunk").agg(F.flatten(repeated).alias("values"))
+
+
 def collect_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    max_items: int = 100_000,
-    spread_by: Sequence[str] | None = None,
+    df: DataFrame, keys: Sequence[str], value: str, items: int, ranges: int | None = None
 ) -> DataFrame:
-    """The values of each group as sorted arrays: ``keys``, ``split``, ``values``.
+    """The values of each group in sorted arrays: ``keys``, ``chunk``, ``values``.
 
-    A group of up to ``max_items`` rows gives one row, ``split`` 0. A larger
-    one gives several rows whose arrays together hold all of its values. No
-    keys means the whole table. Nulls are left out.
+    Chunk 0 holds the first ``items`` values of the group, chunk 1 the next, and so on, so
+    the arrays of a group end to end are its sorted values, and none is longer than
+    ``items``, however large the group is. No keys means the whole table. Nulls are left
+    out. Equal values are counted before the shuffle. ``ranges`` is the width of the sort,
+    the session's if not given.
     """
-    spread = list(spread_by or df.columns)
-    needed = list(dict.fromkeys([*keys, value, *spread]))
-    parts = split_hot_groups(df.select(*needed), keys, max_items, spread)
-    return parts.groupBy(*keys, "split").agg(
-        F.sort_array(F.collect_list(value)).alias("values")
-    )
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    return in_chunks(counted, keys, value, items, ranges)
 
 
 def collect_distinct(
-    df: DataFrame, keys: Sequence[str], value: str, max_items: int = 100_000
+    df: DataFrame, keys: Sequence[str], value: str, items: int, ranges: int | None = None
 ) -> DataFrame:
-    """The distinct values of each group, shaped as in :func:`collect_values`.
-
-    Duplicates go before the shuffle, and a value lands in one piece only, so
-    the arrays of a group never overlap. The distinct pairs are stored, since
-    both counting and collecting read them.
-    """
-    pairs = materialize(df.select(*keys, value).distinct(), "distinct-pairs")
-    return collect_values(pairs, keys, value, max_items, spread_by=[value])
+    """The distinct values of each group, shaped as in :func:`collect_values`."""
+    pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
+    return in_chunks(pairs.withColumn("_n", F.lit(1).cast("bigint")), keys, value, items, ranges)

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from millrace.operators.hashing import row_hash
 
@@ -15,10 +16,9 @@ from millrace.operators.hashing import row_hash
 PARTITION_BYTES = 200 * 1024 * 1024
 FILE_BYTES = 256 * 1024 * 1024
 BUCKET_BYTES = 1024 * 1024 * 1024
-# Beyond this a shuffle is busy with its many small blocks; also well below the
-# number of buckets that Spark allows.
-MAX_PARTITIONS = 50_000
 SAMPLE_ROWS = 10_000
+# Types that Spark takes percentiles of.
+CUT_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
 
 
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
@@ -37,12 +37,8 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 
 def partition_count(total_bytes: int, slots: int, target_bytes: int = PARTITION_BYTES) -> int:
-    """As few partitions as the target size allows, but one per slot at least.
-
-    Very large tables get larger partitions rather than more of them; the sorts
-    and aggregates inside spill.
-    """
-    return max(slots, min(MAX_PARTITIONS, math.ceil(total_bytes / target_bytes)))
+    """As few partitions as the target size allows, but one per slot at least."""
+    return max(slots, math.ceil(total_bytes / target_bytes))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:
@@ -79,40 +75,45 @@ def write_bucketed(
     buckets: int,
     column: str,
     path: str,
+    salts: int = 1,
     mode: str = "errorifexists",
 ) -> None:
-    """A catalog table bucketed and sorted by ``column``; large buckets get several files."""
+    """A catalog table bucketed by ``column`` and ``_salt``, sorted inside its buckets.
+
+    A bucketed scan gives each bucket to one task. The salt, a hash of the row below
+    ``salts``, deals a key over up to that many buckets.
+    """
+    salted = df.withColumn("_salt", F.pmod(row_hash(df), F.lit(salts)).cast("int"))
     (
-        df.hint("rebalance", column)
+        salted.hint("rebalance", column, "_salt")
         .write.format("parquet")
         .mode(mode)
-        .bucketBy(buckets, column)
+        .bucketBy(buckets, column, "_salt")
         .sortBy(column)
         .option("path", path)
         .saveAsTable(table)
     )
 
 
-def read_bucketed(
-    spark: SparkSession, table: str, path: str, max_bytes: int = BUCKET_BYTES
+def grouped_by_bucket(
+    spark: SparkSession, table: str, column: str, partial: Sequence[Column], final: Sequence[Column]
 ) -> DataFrame:
-    """A bucketed table, read by bucket only if no bucket is too large for one task.
+    """Group a table of :func:`write_bucketed` by its key.
 
-    A bucketed scan gives each bucket to a single task, so a key with a large
-    part of all rows would occupy one task for the whole job. Such a table is
-    read as plain files, which are split; grouping then shuffles partial
-    results.
+    ``partial`` aggregates within key and salt, where no row moves; ``final`` adds up the
+    partial results by key, at most one row per key and salt.
     """
-    bucket = F.regexp_extract("path", r"_(\d+)\.c\d+[^/]*$", 1)
-    sizes = stored_files(spark, path).groupBy(bucket).agg(F.sum("length").alias("bytes"))
-    largest = sizes.agg(F.max("bytes")).first()[0] or 0
-    return spark.table(table) if largest <= max_bytes else spark.read.parquet(path)
+    parts = spark.table(table).groupBy(column, "_salt").agg(*partial)
+    return parts.groupBy(column).agg(*final)
 
 
 def register_files(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Make a catalog table of the Parquet files at ``path``, replacing one of that name."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "MANAGED":
+            raise ValueError(f"{table} owns its files; drop it yourself to replace it")
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {quoted(path)}")
     partitioned = any(column.isPartition for column in spark.catalog.listColumns(table))
     if partitioned:
         spark.catalog.recoverPartitions(table)
@@ -125,7 +126,7 @@ def discard(df: DataFrame) -> None:
 
 
 def cached(df: DataFrame) -> DataFrame:
-    """Cache the table and fill the cache."""
+    """Cache the table and fill the cache; ``unpersist()`` of the result frees it."""
     df.cache()
     df.count()
     return df
@@ -162,17 +163,26 @@ def column_statistics(spark: SparkSession, table: str) -> DataFrame:
 def cut_points(df: DataFrame, columns: Sequence[str], cells: int) -> list[list]:
     """For each column at most ``cells - 1`` values that cut it into about equal parts.
 
-    Taken from a sample of about ``SAMPLE_ROWS`` rows: they steer where rows
-    lie, never which rows.
+    Numbers and times are cut at approximate percentiles of all rows, in one pass; other
+    types at those of a sample of about ``SAMPLE_ROWS`` rows. Cuts steer where rows lie,
+    never which rows.
     """
-    fraction = min(1.0, SAMPLE_ROWS / max(df.count(), 1))
-    sample = df.select(*columns).sample(fraction, seed=17).collect()
-    cuts = []
-    for position in range(len(columns)):
-        values = sorted(row[position] for row in sample if row[position] is not None)
-        picked = {values[len(values) * i // cells] for i in range(1, cells) if values}
-        cuts.append(sorted(picked.difference(values[:1])))
-    return cuts
+    shares = [i / cells for i in range(1, cells)]
+    measured = [c for c in columns if isinstance(df.schema[c].dataType, CUT_TYPES)]
+    found = {}
+    if measured and shares:
+        accuracy = max(10_000, 10 * cells)
+        row = df.agg(*[F.percentile_approx(c, shares, accuracy).alias(c) for c in measured]).first()
+        found = {c: row[c] or [] for c in measured}
+    others = [c for c in columns if c not in found]
+    if others:
+        fraction = min(1.0, SAMPLE_ROWS / max(df.count(), 1))
+        sample = df.select(*others).sample(fraction, seed=17).collect()
+        for column in others:
+            values = sorted(row[column] for row in sample if row[column] is not None)
+            picked = [values[len(values) * i // cells] for i in range(1, cells) if values]
+            found[column] = [value for value in picked if value != values[0]]
+    return [sorted(set(found[column])) for column in columns]
 
 
 def spread_bits(number: int, stride: int) -> int:
@@ -199,23 +209,35 @@ def curve_column(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
     types = dict(df.dtypes)
     position = F.lit(0).cast("bigint")
     for index, (column, cuts) in enumerate(zip(columns, cut_points(df, columns, 2**bits))):
-        # SQL text, because a Column call per cut makes building the plan slow.
-        cases = [
-            f"WHEN `{column}` >= CAST({quoted(cut)} AS {types[column]}) "
-            f"THEN {spread_bits(last * cell // len(cuts), len(columns)) << index}L"
-            for cell, cut in reversed(list(enumerate(cuts, start=1)))
-        ]
-        if cases:
-            position = position + F.expr(f"CASE {' '.join(cases)} ELSE 0L END")
+
+        def tree(low: int, high: int) -> str:
+            """SQL that halves the cells from ``low`` to ``high`` until one is left.
+
+            SQL text, because a Column call per cut makes building the plan slow.
+            """
+            if low == high:
+                cell = last * low // len(cuts)
+                return f"{spread_bits(cell, len(columns)) << index}L"
+            middle = (low + high) // 2  # noqa: B023
+            test = f"`{column}` >= CAST({quoted(cuts[middle])} AS {types[column]})"
+            return f"IF({test}, {tree(middle + 1, high)}, {tree(low, middle)})"
+
+        if cuts:
+            position = position + F.coalesce(F.expr(tree(0, len(cuts))), F.lit(0))
     return position
 
 
+def curve_bits(ranges: int, columns: int) -> int:
+    """Cells per column, as bits, so that there are a few times as many cells as ranges."""
+    return max(5, math.ceil(math.log2(max(ranges, 2)) / columns) + 1)
+
+
 def clustered(
     df: DataFrame,
     columns: Sequence[str],
     ranges: int,
     partition_by: Sequence[str] = (),
-    bits: int = 5,
+    bits: int | None = None,
 ) -> DataFrame:
     """Rows in ``ranges`` partitions, close values of ``columns`` together, sorted inside each.
 
@@ -226,7 +248,7 @@ def clustered(
     """
     marks = {"_spread": row_hash(df)}
     if len(columns) > 1:
-        marks["_curve"] = curve_column(df, columns, bits)
+        marks["_curve"] = curve_column(df, columns, bits or curve_bits(ranges, len(columns)))
     key = [*partition_by, *(name for name in marks if name == "_curve"), *columns]
     return (
         df.withColumns(marks)
@@ -261,4 +283,4 @@ def compact(
 def compact_files(total_bytes: int, rows: int, target_bytes: int = FILE_BYTES) -> tuple[int, int]:
     """Number of ranges, and rows per file, for files of about the target size."""
     files = max(1, math.ceil(total_bytes / target_bytes))
-    return min(files, MAX_PARTITIONS), math.ceil(rows / files)
+    return files, math.ceil(rows / files)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from millrace.operators.hashing import row_hash
 from millrace.workspace import materialize
@@ -18,17 +17,20 @@ POSITION_BITS = 33
 # Up to this many rows a limit after a sort is merged from one short list per task.
 SHORT_LIMIT = 1_000
 
-# Ranks of an approximate percentile are off by one part in this many at most.
-PERCENTILE_ACCURACY = 10_000
-CUT_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
+
+def in_ranges(df: DataFrame, order: Sequence[Column | str], ranges: int | None) -> DataFrame:
+    """Globally sorted rows in ``ranges`` partitions, or as many as the session's width."""
+    if ranges is None:
+        return df.orderBy(*order)
+    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
 
 
 def place_rows(
-    df: DataFrame, order_by: Sequence[Column | str] | None
+    df: DataFrame, order_by: Sequence[Column | str] | None, ranges: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The stored rows with their partition and position, and each partition's offset."""
     # The hash lets rows that tie in the order fall into several ranges.
-    ordered = df.orderBy(*order_by, row_hash(df)) if order_by else df
+    ordered = in_ranges(df, [*order_by, row_hash(df)], ranges) if order_by else df
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     placed = materialize(
         ordered.withColumns({"_part": F.spark_partition_id(), "_pos": within}), "placed-rows"
@@ -38,7 +40,7 @@ def place_rows(
     offsets = (
         placed.groupBy("_part")
         .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+        .select("_part", "_rows", F.coalesce(before, F.lit(0)).alias("_before"))
     )
     return placed, offsets
 
@@ -46,8 +48,7 @@ def place_rows(
 def numbered(
     placed: DataFrame, offsets: DataFrame, name: str, start: int, columns: Sequence[str]
 ) -> DataFrame:
-    # The broadcast side has one row of 12 bytes per partition.
-    joined = placed.join(F.broadcast(offsets), "_part")
+    joined = placed.join(offsets, "_part")
     index = F.col("_before") + F.col("_pos") + F.lit(start)
     return joined.select(*columns, index.cast("bigint").alias(name))
 
@@ -57,6 +58,7 @@ def with_row_index(
     order_by: Sequence[Column | str] | None = None,
     name: str = "row_idx",
     start: int = 1,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Consecutive row numbers without moving the table into one partition.
 
@@ -65,20 +67,34 @@ def with_row_index(
     and position, so every later pass sees the same numbers, also where the
     order has ties.
     """
-    placed, offsets = place_rows(df, order_by)
+    placed, offsets = place_rows(df, order_by, ranges)
     return numbered(placed, offsets, name, start, df.columns)
 
 
+def stored_rows(offsets: DataFrame) -> int:
+    return offsets.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+
+
 def positional_join(
     left: DataFrame,
     right: DataFrame,
     left_order: Sequence[Column | str] | None = None,
     right_order: Sequence[Column | str] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Two tables side by side: first row with first row, and so on to the shorter end."""
-    numbered_left = with_row_index(left, left_order, "_row")
-    numbered_right = with_row_index(right, right_order, "_row")
-    return numbered_left.join(numbered_right, "_row").drop("_row")
+    """Two tables side by side: first row with first row, and so on to the shorter end.
+
+    The row counts of both are known once they are placed, so the rows of the longer table
+    beyond the shorter one's end are left out before the join.
+    """
+    sides = [place_rows(left, left_order, ranges), place_rows(right, right_order, ranges)]
+    rows = min(stored_rows(offsets) for _, offsets in sides)
+    first, second = (
+        numbered(placed.join(offsets.where(F.col("_before") < rows).select("_part"), "_part", "left_semi"),
+                 offsets, "_row", 0, df.columns).where(F.col("_row") < rows)
+        for df, (placed, offsets) in zip((left, right), sides)
+    )
+    return first.join(second, "_row").drop("_row")
 
 
 def sort_limit(
@@ -86,46 +102,22 @@ def sort_limit(
     order_by: Sequence[str],
     n: int,
     ascending: bool | Sequence[bool] = True,
+    ranges: int | None = None,
+    short: int = SHORT_LIMIT,
 ) -> DataFrame:
     """The first ``n`` rows of the sorted table.
 
-    A short limit is a top-k. A long one would pass every task's first ``n``
-    rows through a single task, so rows that lie clearly beyond it are left
-    out, the others are numbered, and those up to ``n`` are kept.
+    Up to ``short`` rows this is a top-k; a longer prefix would pass every task's first
+    ``n`` rows through a single task, so rows are numbered in sorted ranges and those up to
+    ``n`` are kept. Both orders end in the same hash of the row, so ``short`` decides how
+    the rows are found and never which.
     """
     ups = [ascending] * len(order_by) if isinstance(ascending, bool) else list(ascending)
     order = [F.asc(c) if up else F.desc(c) for c, up in zip(order_by, ups, strict=True)]
-    if n <= SHORT_LIMIT:
-        return df.orderBy(*order).limit(n)
-    candidates = front_rows(df, order_by[0], ups[0], n)
-    placed, offsets = place_rows(candidates, order)
+    if n <= short:
+        return df.orderBy(*order, row_hash(df)).limit(n)
+    placed, offsets = place_rows(df, order, ranges)
     last = offsets.filter(F.col("_before") < n).agg(F.max("_part")).first()[0]
     needed = placed.filter(F.col("_part") <= F.lit(last if last is not None else -1))
     kept = numbered(needed, offsets, "_row", 0, df.columns).filter(F.col("_row") < n)
     return kept.orderBy("_row").drop("_row")
-
-
-def front_rows(df: DataFrame, column: str, ascending: bool, n: int) -> DataFrame:
-    """Rows that hold the first ``n`` in the order of ``column``, and few others.
-
-    An approximate percentile gives the cut, so that the full sort sees little
-    more than ``n`` rows. Rows up to a cut are a prefix of the order; the cut
-    serves only if the count shows that the prefix is long enough.
-    """
-    if not isinstance(df.schema[column].dataType, CUT_TYPES):
-        return df
-    rows = df.count()
-    if rows <= 2 * n:
-        return df
-    share = min(1.0, n / rows + 3 / PERCENTILE_ACCURACY)
-    at = share if ascending else 1 - share
-    cut = df.agg(F.percentile_approx(column, at, PERCENTILE_ACCURACY).alias("cut")).first()["cut"]
-    if cut is None:
-        return df
-    bound = F.lit(cut).cast(df.schema[column].dataType)
-    # Nulls come first in ascending and last in descending order.
-    if ascending:
-        front = df.filter((F.col(column) <= bound) | F.col(column).isNull())
-    else:
-        front = df.filter(F.col(column) >= bound)
-    return front if front.count() >= n else df

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 
 def longest_text(
@@ -24,22 +24,33 @@ def longest_text(
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, deviation, least and greatest value of numeric columns, one row each."""
+    """Count, mean, deviation, least and greatest value of number and text columns, one row each.
+
+    All facts are texts, so that whole numbers stay exact. The mean and the deviation of a
+    text column are those of its texts that are numbers, null if none is. A table without
+    such columns gives no row.
+    """
     names = columns or [
-        field.name for field in df.schema.fields if isinstance(field.dataType, NumericType)
+        field.name
+        for field in df.schema.fields
+        if isinstance(field.dataType, (NumericType, StringType))
     ]
+    names = list(names)
 
     def facts(name: str):
-        number = F.col(name).cast("double")
+        number = F.col(name).try_cast("double")
         return F.struct(
             F.lit(name).alias("column"),
-            F.count(name).alias("count"),
-            F.avg(number).alias("mean"),
-            F.stddev(number).alias("stddev"),
-            F.min(number).alias("min"),
-            F.max(number).alias("max"),
+            F.count(name).cast("string").alias("count"),
+            F.avg(number).cast("string").alias("mean"),
+            F.stddev(number).cast("string").alias("stddev"),
+            F.min(name).cast("string").alias("min"),
+            F.max(name).cast("string").alias("max"),
         ).alias(name)
 
+    if not names:
+        kinds = ", ".join(f"{c} string" for c in ("column", "count", "mean", "stddev", "min", "max"))
+        return df.sparkSession.createDataFrame([], kinds)
     one_row = df.agg(*[facts(name) for name in names])
     return one_row.select(F.inline(F.array(*[F.col(name) for name in names])))
 

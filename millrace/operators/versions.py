@@ -35,7 +35,9 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     """One row per finished write."""
     try:
         return spark.read.schema(HISTORY).parquet(f"{root}/history")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], HISTORY)
 
 

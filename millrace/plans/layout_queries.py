@@ -9,6 +9,8 @@ from millrace.plans.catalogue import query, table, table_path
 from millrace.workspace import fresh_name, fresh_path
 
 OVERWRITES = 3
+SALTS = 8
+LOOKUP_FILES = 32
 
 
 def slots(spark):
@@ -45,14 +47,18 @@ def partitioned_scan(spark, sf_dir):
     FROM orders GROUP BY o_custkey
 """)
 def bucketed_agg(spark, sf_dir):
-    """Grouping by the bucket column moves no rows."""
+    """Grouping by key and salt moves no rows; only partial results are added up by key."""
     name, path = fresh_name("orders"), fresh_path(spark, "orders-bucketed")
-    buckets = base_partitions(spark, sf_dir, "orders")
-    layout.write_bucketed(table(spark, sf_dir, "orders"), name, buckets, "o_custkey", path)
-    return (
-        layout.read_bucketed(spark, name, path)
-        .groupBy("o_custkey")
-        .agg(F.count("*").alias("orders"), F.max("o_orderdate").alias("last_order"))
+    buckets = layout.partition_count(
+        table_bytes(spark, sf_dir, "orders"), slots(spark), layout.BUCKET_BYTES
+    )
+    layout.write_bucketed(
+        table(spark, sf_dir, "orders"), name, buckets, "o_custkey", path, salts=SALTS
+    )
+    return layout.grouped_by_bucket(
+        spark, name, "o_custkey",
+        [F.count("*").alias("n"), F.max("o_orderdate").alias("last")],
+        [F.sum("n").alias("orders"), F.max("last").alias("last_order")],
     )
 
 
@@ -76,8 +82,15 @@ def overwritten_orders(spark, sf_dir):
 
 @query("SELECT * FROM orders")
 def repeated_overwrite(spark, sf_dir):
-    root = overwritten_orders(spark, sf_dir)
-    return versions.read_version(spark, root).select(table(spark, sf_dir, "orders").columns)
+    """The same folder overwritten several times with different file counts."""
+    path = fresh_path(spark, "orders-overwritten")
+    orders = table(spark, sf_dir, "orders")
+    files = base_partitions(spark, sf_dir, "orders")
+    for more in range(OVERWRITES):
+        orders.repartition(files + more).write.mode("overwrite").partitionBy(
+            "o_orderstatus"
+        ).parquet(path)
+    return spark.read.parquet(path).select(orders.columns)
 
 
 @query("""
@@ -89,7 +102,9 @@ def compacted_lookup(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     files = 2 * base_partitions(spark, sf_dir, "orders")
     versions.write_version(orders.repartition(files), root, "WRITE", ["o_orderpriority"])
-    versions.optimize(spark, root, ["o_custkey", "o_orderdate"], ["o_orderpriority"])
+    # Many files even of a small table, so that a lookup has files to skip.
+    file_bytes = min(layout.FILE_BYTES, table_bytes(spark, sf_dir, "orders") // LOOKUP_FILES + 1)
+    versions.optimize(spark, root, ["o_custkey", "o_orderdate"], ["o_orderpriority"], file_bytes)
     compacted = versions.read_version(spark, root).select(orders.columns)
     return compacted.filter(
         (F.col("o_orderpriority") == "1-URGENT") & F.col("o_custkey").between(100, 199)

@@ -206,13 +206,17 @@ def json_raw_inner(spark, sf_dir):
 
 
 @query("""
-    SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+    SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+           CASE WHEN event_id % 500 = 499 THEN event_id END AS late
+    FROM events
 """)
 def json_infer(spark, sf_dir):
-    """The schema comes from the first message and serves all of them."""
-    events = table(spark, sf_dir, "events")
-    sample = events.filter(F.col("props").isNotNull()).select("props").first()[0]
-    schema = jsontext.schema_of_sample(sample)
-    return events.select("event_id", F.from_json("props", schema).alias("json")).select(
-        "event_id", "json.k"
+    """The schema comes from all messages; one field is in few of them only."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    late = F.when(F.col("event_id") % 500 == 499, F.col("event_id"))
+    messages = table(spark, sf_dir, "events").select(
+        "event_id", F.to_json(F.struct(k.alias("k"), late.alias("late"))).alias("text")
     )
+    schema = jsontext.schema_of_messages(messages, "text")
+    parsed = messages.select("event_id", F.from_json("text", schema).alias("json"))
+    return parsed.select("event_id", "json.k", "json.late")

@@ -204,16 +204,21 @@ def stream_topk(spark, sf_dir):
     return sinks.run_to_memory(jobs.popular_hashtags(stream))
 
 
-@query("SELECT event_id, user_id, event_type, value, props, true AS has_lineage FROM events")
+@query("""
+    SELECT event_id, date_trunc('milliseconds', ts) AS ts, user_id, event_type, value, props,
+           true AS has_lineage
+    FROM events
+""")
 def file_ingest(spark, sf_dir):
     """JSON files taken in once each, though the query runs twice."""
     path, checkpoint = fresh_path(spark, "event-files"), fresh_path(spark, "checkpoint")
     target, location = fresh_name("ingested"), fresh_path(spark, "ingested")
-    table(spark, sf_dir, "events").drop("ts").write.json(path)
+    table(spark, sf_dir, "events").write.json(path)
     for _ in range(2):
         stream = json_file_stream(spark, path, f"{checkpoint}-schema")
         sinks.start_table(stream, target, checkpoint, location).awaitTermination()
     lineage = F.col("source_file").contains("event-files") & F.col("processing_time").isNotNull()
     return spark.table(target).select(
-        "event_id", "user_id", "event_type", "value", "props", lineage.alias("has_lineage")
+        "event_id", F.date_trunc("millisecond", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("ts"),
+        "user_id", "event_type", "value", "props", lineage.alias("has_lineage"),
     )

@@ -18,6 +18,8 @@ from millrace.plans.catalogue import query, table
 from millrace.plans.renderings import log_lines
 
 SORT_LIMIT = 20_000
+# Few enough for groups to fill several arrays in small tables too.
+CHUNK_ORDERS, CHUNK_CUSTOMERS, CHUNK_DAYS = 8, 1_000, 100
 
 
 @query("SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS price FROM orders")
@@ -126,46 +128,54 @@ def count_grouped(spark, sf_dir):
     return summaries.count_by(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"])
 
 
-@query("""
-    SELECT o_custkey, 0 AS split, CAST(to_json(list(o_orderkey ORDER BY o_orderkey)) AS VARCHAR)
-           AS orders
-    FROM orders GROUP BY o_custkey
+@query(f"""
+    SELECT o_custkey, (r - 1) // {CHUNK_ORDERS} AS chunk,
+           CAST(to_json(list(o_orderkey ORDER BY o_orderkey)) AS VARCHAR) AS orders
+    FROM (SELECT o_custkey, o_orderkey,
+                 row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders)
+    GROUP BY o_custkey, chunk
 """)
 def collect_sorted(spark, sf_dir):
     lists = groups.collect_values(
-        table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", spread_by=["o_orderkey"]
+        table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", CHUNK_ORDERS
     )
-    return lists.select("o_custkey", "split", F.to_json("values").alias("orders"))
+    return lists.select("o_custkey", "chunk", F.to_json("values").alias("orders"))
 
 
-@query("""
-    SELECT COUNT(*) AS items, COUNT(DISTINCT o_orderkey) AS different,
-           CAST(SUM(o_orderkey) AS BIGINT) AS total
-    FROM orders
+@query(f"""
+    SELECT (r - 1) // {CHUNK_CUSTOMERS} AS chunk, COUNT(*) AS items, min(o_custkey) AS least,
+           max(o_custkey) AS greatest, CAST(SUM(o_custkey) AS BIGINT) AS total
+    FROM (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS r FROM orders)
+    GROUP BY chunk
 """)
 def collect_whole_table(spark, sf_dir):
-    """All order keys in arrays of bounded length, then summed up again."""
+    """The customer of every order in arrays of a stated length, equal ones next to each other."""
     lists = groups.collect_values(
-        table(spark, sf_dir, "orders"), [], "o_orderkey", 10_000, spread_by=["o_orderkey"]
+        table(spark, sf_dir, "orders"), [], "o_custkey", CHUNK_CUSTOMERS
     )
-    return lists.agg(
-        F.sum(F.size("values")).alias("items"),
-        F.sum(F.size(F.array_distinct("values"))).alias("different"),
-        F.sum(F.aggregate("values", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("total"),
+    return lists.select(
+        "chunk",
+        F.size("values").cast("bigint").alias("items"),
+        F.array_min("values").alias("least"),
+        F.array_max("values").alias("greatest"),
+        F.aggregate("values", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"),
     )
 
 
-@query("""
-    SELECT l_suppkey, 0 AS split,
-           CAST(to_json(list_sort(list(DISTINCT l_shipdate::DATE::VARCHAR))) AS VARCHAR) AS days
-    FROM lineitem GROUP BY l_suppkey
+@query(f"""
+    SELECT l_suppkey, (r - 1) // {CHUNK_DAYS} AS chunk,
+           CAST(to_json(list(day::VARCHAR ORDER BY day)) AS VARCHAR) AS days
+    FROM (SELECT l_suppkey, day, row_number() OVER (PARTITION BY l_suppkey ORDER BY day) AS r
+          FROM (SELECT DISTINCT l_suppkey, l_shipdate::DATE AS day FROM lineitem))
+    GROUP BY l_suppkey, chunk
 """)
 def collect_distinct(spark, sf_dir):
     days = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")
+        "l_suppkey", F.col("l_shipdate").cast("date").alias("day")
     )
-    sets = groups.collect_distinct(days, ["l_suppkey"], "day")
-    return sets.select("l_suppkey", "split", F.to_json("values").alias("days"))
+    sets = groups.collect_distinct(days, ["l_suppkey"], "day", CHUNK_DAYS)
+    texts = F.transform("values", lambda day: day.cast("string"))
+    return sets.select("l_suppkey", "chunk", F.to_json(texts).alias("days"))
 
 
 @query("""
@@ -177,28 +187,43 @@ def longest_text(spark, sf_dir):
     return summaries.longest_text(table(spark, sf_dir, "documents"), ["text", "source"])
 
 
-@query("""
-    SELECT 'l_quantity' AS column, COUNT(l_quantity) AS count, round(avg(l_quantity), 4) AS mean,
-           round(stddev(l_quantity), 4) AS stddev, min(l_quantity) AS min, max(l_quantity) AS max
-    FROM lineitem
-    UNION ALL
-    SELECT 'l_extendedprice', COUNT(l_extendedprice), round(avg(l_extendedprice), 4),
-           round(stddev(l_extendedprice), 4), min(l_extendedprice), max(l_extendedprice)
-    FROM lineitem
-    UNION ALL
-    SELECT 'l_linenumber', COUNT(l_linenumber), round(avg(l_linenumber), 4),
-           round(stddev(l_linenumber), 4), min(l_linenumber)::DOUBLE, max(l_linenumber)::DOUBLE
-    FROM lineitem
-""")
-def describe_columns(spark, sf_dir):
-    described = summaries.describe_columns(
-        table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_linenumber"]
+def described_sql(name, columns):
+    return " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS column, COUNT({c})::VARCHAR AS count,
+               round(avg(TRY_CAST({c} AS DOUBLE)), 4) AS mean,
+               round(stddev(TRY_CAST({c} AS DOUBLE)), 4) AS stddev,
+               min({c})::VARCHAR AS min, max({c})::VARCHAR AS max
+        FROM {name}
+        """
+        for c in columns
     )
+
+
+def rounded_facts(described):
+    """Means and deviations as numbers again, so that their last digits do not count."""
     return described.withColumns({
-        "mean": F.round("mean", 4), "stddev": F.round("stddev", 4)
+        fact: F.round(F.col(fact).cast("double"), 4) for fact in ("mean", "stddev")
     })
 
 
+DESCRIBED_LINEITEM = ["l_quantity", "l_extendedprice", "l_linenumber"]
+DESCRIBED_ORDERS = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+@query(described_sql("lineitem", DESCRIBED_LINEITEM))
+def describe_columns(spark, sf_dir):
+    lineitem = table(spark, sf_dir, "lineitem")
+    return rounded_facts(summaries.describe_columns(lineitem, DESCRIBED_LINEITEM))
+
+
+@query(described_sql("orders", DESCRIBED_ORDERS))
+def describe_texts(spark, sf_dir):
+    """Text and number columns together, as a table of texts is described."""
+    orders = table(spark, sf_dir, "orders")
+    return rounded_facts(summaries.describe_columns(orders, DESCRIBED_ORDERS))
+
+
 @query("SELECT event_type, user_id, event_id FROM events")
 def sort_multi(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", "user_id", "event_id")
@@ -206,12 +231,12 @@ def sort_multi(spark, sf_dir):
 
 
 @query(f"""
-    SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    SELECT * FROM lineitem
     ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT {SORT_LIMIT}
 """)
 def sort_limit(spark, sf_dir):
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return positions.sort_limit(table(spark, sf_dir, "lineitem").select(*order), order, SORT_LIMIT)
+    return positions.sort_limit(table(spark, sf_dir, "lineitem"), order, SORT_LIMIT)
 
 
 @query("SELECT o_custkey, o_orderkey FROM orders")

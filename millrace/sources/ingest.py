@@ -26,7 +26,9 @@ def remembered_schema(
     """
     try:
         kept = spark.read.text(store, wholetext=True).first()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         kept = None
     if kept is not None:
         return StructType.fromJson(json.loads(kept[0]))
@@ -36,6 +38,7 @@ def remembered_schema(
     return schema
 
 
+# The two lineage columns, source_file and processing_time.
 def with_lineage(df: DataFrame) -> DataFrame:
     """Every column, the file each row came from, and the time it was processed."""
     return df.select(

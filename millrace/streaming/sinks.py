@@ -14,11 +14,13 @@ WIDTH = "spark.sql.shuffle.partitions"
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """Partitions for stream state: every batch runs a task for each, so no more than slots.
+    """Partitions for stream state: the session's shuffle width.
 
-    The number is fixed by the first run of a checkpoint.
+    Every batch runs a task for each, and the number is fixed by the first run of a
+    checkpoint, so state that grows wants a width for its later size; ``partitions`` of a
+    query overrides it.
     """
-    return min(int(spark.conf.get(WIDTH)), max(spark.sparkContext.defaultParallelism, 1))
+    return int(spark.conf.get(WIDTH))
 
 
 def stream_settings(spark: SparkSession, partitions: int | None) -> dict[str, str]:

@@ -60,29 +60,22 @@ def test_large_partition_value_gets_several_files(spark, sales):
     assert same_rows(sales, spark.read.parquet(path))
 
 
-def test_bucketed_aggregate_has_no_exchange(spark, sales):
-    name = fresh_name("t")
-    layout.write_bucketed(sales, name, 4, "code", fresh_path(spark, "t"))
-    counted = spark.table(name).groupBy("code").count()
-    assert "Exchange" not in plan_of(counted)
-    assert same_rows(sales.groupBy("code").count(), counted)
-    assert len(spark.table(name).inputFiles()) == 4
-
-
-def test_large_bucket_is_read_as_plain_files(spark):
-    """Half of all rows have one key; reading by bucket would give them to one task."""
+@pytest.mark.parametrize("salts", [1, 5])
+def test_bucketed_aggregate_moves_partial_results_only(spark, salts):
+    """Half of all rows have one key; its rows lie in several buckets."""
     code = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 500)
     df = spark.range(20_000).select(code.alias("code"), "id")
     name, path = fresh_name("t"), fresh_path(spark, "t")
-    layout.write_bucketed(df, name, 4, "code", path)
-    sizes = sorted(map(os.path.getsize, parquet_files(path)))
-    by_bucket = layout.read_bucketed(spark, name, path, max_bytes=sizes[-1])
-    plain = layout.read_bucketed(spark, name, path, max_bytes=sizes[-1] - 1)
-    want = df.groupBy("code").count()
-    for read, exchanges in ((by_bucket, 0), (plain, 1)):
-        counted = read.groupBy("code").count()
-        assert plan_of(counted).count("Exchange hashpartitioning") == exchanges
-        assert same_rows(want, counted)
+    layout.write_bucketed(df, name, 8, "code", path, salts=salts)
+    counted = layout.grouped_by_bucket(
+        spark, name, "code", [F.count("*").alias("n")], [F.sum("n").alias("count")]
+    )
+    assert same_rows(df.groupBy("code").count(), counted)
+    partial = spark.table(name).groupBy("code", "_salt").count()
+    assert "Exchange" not in plan_of(partial)
+    assert plan_of(counted).count("Exchange hashpartitioning") == 1
+    hot = [r["count"] for r in partial.where("code = 0").collect()]
+    assert len(hot) == salts and max(hot) < 2 * sum(hot) / salts
 
 
 def test_register_files_replaces(spark, sales):
@@ -115,6 +108,31 @@ def test_compaction_keeps_rows_and_narrows_files(spark, sales, columns):
         assert touched.count() < files.count()
 
 
+@pytest.mark.parametrize("lookup", ["a", "b"])
+def test_lookup_on_each_cluster_column_touches_few_of_many_files(spark, lookup):
+    df = spark.range(50_000).select(
+        (F.col("id") * 7919 % 50_000).alias("a"), (F.col("id") * 104_729 % 49_999).alias("b")
+    )
+    path = fresh_path(spark, "t")
+    layout.compact(df, path, ["a", "b"], ranges=64)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).agg(
+        F.min(lookup).alias("least"), F.max(lookup).alias("most")
+    )
+    assert files.count() >= 60
+    assert files.where("least <= 20000 and most >= 20000").count() <= files.count() / 4
+
+
+def test_register_files_spares_managed_tables(spark, sales):
+    name = fresh_name("t")
+    sales.limit(5).write.saveAsTable(name)
+    with pytest.raises(ValueError):
+        layout.register_files(spark, name, fresh_path(spark, "t"))
+    assert spark.table(name).count() == 5
+    path = fresh_path(spark, "it's")
+    sales.limit(7).write.parquet(path)
+    assert layout.register_files(spark, fresh_name("t"), path).count() == 7
+
+
 def test_compaction_splits_equal_values(spark):
     """One value everywhere still spreads over the files."""
     df = spark.range(8000).select(F.lit(1).alias("code"), "id")
@@ -198,11 +216,11 @@ def test_partition_rule(spark):
     path = fresh_path(spark, "t")
     spark.range(1000).write.parquet(path)
     assert layout.stored_bytes(spark, path) == sum(map(os.path.getsize, parquet_files(path)))
-    assert layout.partition_count(10**15, 8) == layout.MAX_PARTITIONS
-    assert layout.partition_count(10**15, 10**6) == 10**6
+    assert layout.partition_count(10**15, 8) == -(-(10**15) // layout.PARTITION_BYTES)
+    assert layout.partition_count(10**15, 10**7) == 10**7
     assert layout.compact_files(0, 0) == (1, 0)
     assert layout.compact_files(1000, 90, target_bytes=300) == (4, 23)
-    assert layout.compact_files(10**9, 10**6, target_bytes=1000) == (layout.MAX_PARTITIONS, 1)
+    assert layout.compact_files(10**9, 10**6, target_bytes=1000) == (10**6, 1)
 
 
 def test_wide_ranges_are_cut_into_sorted_files(spark, sales):

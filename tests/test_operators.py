@@ -26,48 +26,40 @@ def by_key(rows, key, value):
     return found
 
 
-@pytest.mark.parametrize("limit", [3, 20, 10_000])
-def test_collect_values_keeps_every_row(spark, limit):
-    df = skewed(spark).repartition(7)
-    want = by_key(df.collect(), "k", "v")
-    got = defaultdict(list)
-    pieces = defaultdict(int)
-    for row in groups.collect_values(df, ["k"], "v", limit).collect():
-        assert row["values"] == sorted(row["values"])
-        got[row["k"]] += row["values"]
-        pieces[row["k"]] += 1
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
-    for key, values in want.items():
-        assert pieces[key] <= -(-len(values) // limit)
-        if len(values) <= limit:
-            assert pieces[key] == 1
-    if limit == 20:
-        assert pieces[0] > 10
-
-
-def test_collect_distinct_pieces_do_not_overlap(spark):
+def in_order(rows, key=None):
+    """Arrays of each group by chunk."""
+    found = defaultdict(dict)
+    for row in rows:
+        assert row["chunk"] not in found[row[key] if key else 0]
+        found[row[key] if key else 0][row["chunk"]] = row["values"]
+    return {k: [chunks[i] for i in range(len(chunks))] for k, chunks in found.items()}
+
+
+def cut(values, items):
+    return [values[i : i + items] for i in range(0, len(values), items)]
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 5])
+@pytest.mark.parametrize("items", [1, 3, 20, 10_000])
+def test_collected_arrays_are_stretches_of_the_sorted_values(spark, items, ranges):
     df = skewed(spark).repartition(7)
-    want = {k: set(v) for k, v in by_key(df.collect(), "k", "v").items()}
-    got = defaultdict(list)
-    for row in groups.collect_distinct(df, ["k"], "v", 5).collect():
-        got[row["k"]] += row["values"]
-    assert {k: set(v) for k, v in got.items()} == want
-    assert all(len(v) == len(set(v)) for v in got.values())
+    want = {k: cut(sorted(v), items) for k, v in by_key(df.collect(), "k", "v").items()}
+    assert in_order(groups.collect_values(df, ["k"], "v", items, ranges).collect(), "k") == want
+    distinct = {k: cut(sorted(set(v)), items) for k, v in by_key(df.collect(), "k", "v").items()}
+    assert in_order(groups.collect_distinct(df, ["k"], "v", items, ranges).collect(), "k") == distinct
 
 
-def test_collect_whole_table(spark):
-    df = spark.range(100)
-    assert groups.collect_values(df, [], "id").collect()[0]["values"] == list(range(100))
-    rows = groups.collect_values(df, [], "id", 10).collect()
-    assert len(rows) > 5
-    assert sorted(x for row in rows for x in row["values"]) == list(range(100))
+def test_equal_rows_of_one_group_fill_several_arrays(spark):
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    assert in_order(groups.collect_values(df, ["k"], "v", 100).collect(), "k") == {1: [["x"] * 100] * 50}
+    assert in_order(groups.collect_distinct(df, ["k"], "v", 100).collect(), "k") == {1: [["x"]]}
 
 
-def test_hot_groups_join_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(groups, "BROADCAST_GROUPS", 0)
-    df = skewed(spark)
-    rows = groups.collect_values(df, ["k"], "id", 20).collect()
-    assert sorted(x for row in rows for x in row["values"]) == list(range(1000))
+def test_collect_whole_table(spark):
+    df = spark.range(100)
+    assert in_order(groups.collect_values(df, [], "id", 1000).collect()) == {0: [list(range(100))]}
+    assert in_order(groups.collect_values(df, [], "id", 10).collect()) == {0: cut(list(range(100)), 10)}
+    assert groups.collect_values(df.limit(0), [], "id", 10).count() == 0
 
 
 @pytest.mark.parametrize("parts", [1, 7, 16])
@@ -103,6 +95,16 @@ def test_rows_with_maps_can_be_numbered(spark):
     assert [(r["row_idx"], r["m"]["a"]) for r in got] == [(i + 1, i) for i in range(20)]
 
 
+def test_positional_join_cuts_the_longer_side_first(spark):
+    left = spark.range(1000).select(F.col("id").alias("a")).repartition(3)
+    right = spark.range(100).select(F.col("id").alias("b")).repartition(4)
+    joined = positions.positional_join(left, right, ["a"], ["b"])
+    assert sorted(map(tuple, joined.collect())) == [(i, i) for i in range(100)]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    top = plan.index("Join Inner")
+    assert plan.count("< 100)", top) >= 2  # both sides are filtered below the join
+
+
 def test_positional_join_stops_at_the_shorter_side(spark):
     left = spark.range(10).select(F.col("id").alias("a")).repartition(3)
     right = spark.range(100, 107).select(F.col("id").alias("b")).repartition(4)
@@ -110,38 +112,37 @@ def test_positional_join_stops_at_the_shorter_side(spark):
     assert sorted(map(tuple, got.collect())) == [(i, 106 - i) for i in range(7)]
 
 
+@pytest.mark.parametrize("ranges", [None, 4])
 @pytest.mark.parametrize("n", [0, 1, 5, 999, 1500, 5000])
-def test_sort_limit_both_ways(spark, monkeypatch, n):
+def test_sort_limit_both_ways(spark, n, ranges):
     df = spark.range(2000).select((F.col("id") * 7 % 2000).alias("x")).repartition(9)
     want = list(range(min(n, 2000)))
-    assert [r["x"] for r in positions.sort_limit(df, ["x"], n).collect()] == want
-    monkeypatch.setattr(positions, "SHORT_LIMIT", -1)
-    assert [r["x"] for r in positions.sort_limit(df, ["x"], n).collect()] == want
+    for short in (-1, 10_000):
+        got = positions.sort_limit(df, ["x"], n, ranges=ranges, short=short)
+        assert [r["x"] for r in got.collect()] == want
 
 
 @pytest.mark.parametrize("ascending", [True, False, [False, True]])
 @pytest.mark.parametrize("n", [3, 100, 250, 700])
-def test_sort_limit_with_hot_values_and_nulls(spark, monkeypatch, n, ascending):
+def test_sort_limit_with_hot_values_and_nulls(spark, n, ascending):
     """A third of all rows ties in the first column, some have none."""
-    monkeypatch.setattr(positions, "SHORT_LIMIT", -1)
     df = skewed(spark, 1500).select("k", "id")
     ups = [ascending] * 2 if isinstance(ascending, bool) else ascending
     order = [F.asc(c) if up else F.desc(c) for c, up in zip(["k", "id"], ups)]
     want = [tuple(r) for r in df.orderBy(*order).limit(n).collect()]
-    got = positions.sort_limit(df.repartition(5), ["k", "id"], n, ascending)
+    got = positions.sort_limit(df.repartition(5), ["k", "id"], n, ascending, short=-1)
     assert [tuple(r) for r in got.collect()] == want
 
 
-def test_front_rows_are_few_and_fall_back(spark):
-    df = spark.range(100_000)
-    assert 1000 <= positions.front_rows(df, "id", True, 1000).count() < 1100
-    assert 1000 <= positions.front_rows(df, "id", False, 1000).count() < 1100
-    texts = df.select(F.col("id").cast("string").alias("t"))
-    assert positions.front_rows(texts, "t", True, 1000).count() == 100_000
-    empty = df.select(F.lit(None).cast("double").alias("x"))
-    assert positions.front_rows(empty, "x", True, 1000).count() == 100_000
-    odd = df.select(F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).alias("x"))
-    assert positions.front_rows(odd, "x", False, 1000).count() >= 1000
+def test_limits_are_nested_also_where_rows_tie(spark):
+    """A longer limit holds the rows of a shorter one, whichever way either is found."""
+    df = spark.range(6000).select((F.col("id") % 3).alias("same"), "id").repartition(5)
+    kept = [
+        {tuple(r) for r in positions.sort_limit(df, ["same"], n, short=1000).collect()}
+        for n in (999, 1000, 1001, 1500)
+    ]
+    assert [len(rows) for rows in kept] == [999, 1000, 1001, 1500]
+    assert all(a < b for a, b in zip(kept, kept[1:]))
 
 
 def test_longest_text(spark):
@@ -155,13 +156,22 @@ def test_longest_text(spark):
 
 
 def test_describe_columns_matches_describe(spark):
-    df = spark.range(50).select((F.col("id") * 1.5).alias("a"), F.col("id").alias("b"), F.lit("t"))
-    got = {r["column"]: r for r in summaries.describe_columns(df).collect()}
-    assert set(got) == {"a", "b"}
-    want = {r["summary"]: r for r in df.select("a", "b").describe().collect()}
-    for name in ("a", "b"):
-        for fact in ("count", "mean", "stddev", "min", "max"):
-            assert float(want[fact][name]) == pytest.approx(got[name][fact])
+    numbers = spark.range(50).select((F.col("id") * 1.5).alias("a"), F.col("id").alias("b"), F.lit(True))
+    texts = spark.createDataFrame([("7", "x"), ("11", None), (None, "ab")], "n string, t string")
+    for df, names in ((numbers, ["a", "b"]), (texts, ["n", "t"])):
+        got = {r["column"]: r for r in summaries.describe_columns(df).collect()}
+        assert set(got) == set(names)
+        want = {r["summary"]: r for r in df.select(*names).describe().collect()}
+        for name in names:
+            for fact in ("count", "mean", "stddev", "min", "max"):
+                assert got[name][fact] == want[fact][name], (name, fact)
+
+
+def test_describe_columns_keeps_whole_numbers_exact(spark):
+    df = spark.createDataFrame([(2**53 + 1,), (3,)], "n bigint")
+    row = summaries.describe_columns(df).first()
+    assert (row["min"], row["max"]) == ("3", "9007199254740993")
+    assert summaries.describe_columns(df.select(F.lit(True))).count() == 0
 
 
 def test_top_counts_break_ties_by_key(spark):

@@ -241,6 +241,8 @@ def test_timed_query_can_be_watched_and_stopped(spark, tmp_path):
 
 def test_state_width_and_settings(spark):
     assert sinks.state_partitions(spark) == 8
+    with settings(spark, {sinks.WIDTH: "200"}):
+        assert sinks.state_partitions(spark) == 200
     assert sinks.stream_settings(spark, 3)[sinks.WIDTH] == "3"
 
 
