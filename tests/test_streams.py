@@ -16,7 +16,7 @@ from millrace.plans.renderings import edit_messages, envelopes, log_lines, tweet
 from millrace.sources import messages
 from millrace.sources.ingest import json_file_stream, remembered_schema
 from millrace.streaming import jobs, sinks, windows
-from millrace.workspace import fresh_name
+from millrace.workspace import fresh_name, settings
 
 
 def put_files(folder, texts, start=0):
