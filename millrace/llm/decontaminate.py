@@ -35,15 +35,20 @@ ONE_IN = 20
 BROADCAST_BYTES = 32 << 20
 
 
-def shingles(words: Column, size: Column, length: Column) -> Column:
-    """Hash of the ``length`` (at most SHINGLE_WORDS) words from each place where so many follow."""
-    def one(at: Column) -> Column:
-        parts = [F.when(length > k, F.get(words, at + k)) for k in range(SHINGLE_WORDS)]
-        return F.xxhash64(length, *parts)
-
-    return F.when(size >= length, F.transform(F.sequence(F.lit(0), size - length), one)).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def shingle(words: Column, at: Column, length: Column) -> Column:
+    """Hash of the ``length`` (at most SHINGLE_WORDS) words from a place on."""
+    return F.xxhash64(length, *[F.when(length > k, F.get(words, at + k)) for k in range(SHINGLE_WORDS)])
+
+
+def each_place(df: DataFrame, first: int) -> DataFrame:
+    """A row ``at`` for each place of a shingle of ``length`` in ``words`` (``n`` of them),
+    from place 0; or from -1, so that each row of ``df`` stays.
+
+    Places are numbers and shingles are hashed behind the generator, which keeps both in
+    compiled code; a lambda over the words would be interpreted.
+    """
+    last = F.greatest(F.col("n") - F.col("length"), F.lit(-1))
+    return df.withColumn("at", F.explode(F.sequence(F.lit(-1), last))).where(F.col("at") >= first)
 
 
 def windows(items: DataFrame, text: str, key: str, words: int) -> tuple[DataFrame, DataFrame]:
@@ -72,14 +77,12 @@ def document_words(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 def prefixes(docs: DataFrame, distinct: DataFrame, lengths: list[int]) -> DataFrame:
     """``(hash, offset, window, words, n)``: of each window whose shingles all occur, the rarest."""
-    length = F.least(F.col("n"), F.lit(SHINGLE_WORDS))
-    listed = distinct.select(
-        "window", F.posexplode(shingles(F.col("words"), F.col("n"), length)).alias("offset", "hash")
+    hashed = shingle(F.col("words"), F.col("at"), F.col("length")).alias("hash")
+    listed = each_place(distinct.withColumn("length", F.least(F.col("n"), F.lit(SHINGLE_WORDS))), 0).select(
+        "window", F.col("at").alias("offset"), hashed
     )
     wanted = listed.select("hash").distinct()
-    spread = docs.withColumn("length", F.explode(F.lit(lengths))).select(
-        F.explode(shingles(F.col("words"), F.col("n"), F.col("length"))).alias("hash")
-    )
+    spread = each_place(docs.withColumn("length", F.explode(F.lit(lengths))), 0).select(hashed)
     counts = spread.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.count("*").alias("places"))
     rarest = (
         listed.join(counts, "hash", "left").groupBy("window")
@@ -130,13 +133,11 @@ def contamination(
     small = size <= broadcast_bytes
 
     # Place -1 of every document meets the row without a window, so that no document is lost.
-    hashes = F.array(F.lit(0).cast("long"))
     lengths = lengths or [1]
-    places = split.withColumn("length", F.explode(F.lit(lengths)))
-    places = places.select(
-        "doc", "text_hash", "words", "n", "length",
-        F.posexplode(F.concat(hashes, shingles(F.col("words"), F.col("n"), F.col("length")))).alias("at", "hash"),
-    ).withColumn("at", F.col("at") - 1).where((F.col("at") >= 0) | (F.col("length") == F.lit(lengths[0])))
+    places = each_place(split.withColumn("length", F.explode(F.lit(lengths))), -1)
+    places = places.where((F.col("at") >= 0) | (F.col("length") == F.lit(lengths[0]))).withColumn(
+        "hash", F.when(F.col("at") < 0, F.lit(0).cast("long")).otherwise(shingle(F.col("words"), F.col("at"), F.col("length")))
+    )
     if not small:
         first = F.greatest(F.col("at") - (words - 1), F.lit(0))
         places = places.withColumn("words", F.slice("words", first + 1, 2 * words)).withColumn("from", first)
