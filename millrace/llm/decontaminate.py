@@ -9,8 +9,8 @@ the stretches found.
 
 All steps are DataFrame functions. Documents are scanned twice, once to count the shingles
 that the benchmark has, once to find places; only matches and one small row per document are
-shuffled. Prefixes are broadcast while their measured size allows it; beyond, document
-places carry the words around them into a shuffled join.
+shuffled. The benchmark's shingles and the prefixes are broadcast while their measured
+size allows it; beyond, document places carry the words around them into a shuffled join.
 
 Null and empty texts have no words and are never contaminated. Null items have no windows.
 Item ids that are null are not listed or counted, but their windows hit. Repeated document
@@ -31,8 +31,10 @@ WINDOW_WORDS = 13
 SHINGLE_WORDS = 3
 #: A document counts as contaminated if hit words are one in this many, or more.
 ONE_IN = 20
-#: Bytes of window words up to which prefixes are broadcast.
+#: Bytes up to which the benchmark's shingles, and the prefixes with their words, are broadcast.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of one hash in a hash table, about.
+SHINGLE_BYTES = 32
 
 
 def shingle(words: Column, at: Column, length: Column) -> Column:
@@ -75,13 +77,15 @@ def document_words(docs: DataFrame, text: str, key: str) -> DataFrame:
     ).select("doc", "text_hash", F.col("p.words").alias("words"), F.size("p.words").alias("n"))
 
 
-def prefixes(docs: DataFrame, distinct: DataFrame, lengths: list[int]) -> DataFrame:
+def prefixes(docs: DataFrame, distinct: DataFrame, lengths: list[int], broadcast_bytes: int) -> DataFrame:
     """``(hash, offset, window, words, n)``: of each window whose shingles all occur, the rarest."""
     hashed = shingle(F.col("words"), F.col("at"), F.col("length")).alias("hash")
     listed = each_place(distinct.withColumn("length", F.least(F.col("n"), F.lit(SHINGLE_WORDS))), 0).select(
         "window", F.col("at").alias("offset"), hashed
     )
-    wanted = listed.select("hash").distinct()
+    wanted = materialize(listed.select("hash").distinct(), "shingles")
+    if wanted.count() * SHINGLE_BYTES <= broadcast_bytes:
+        wanted = F.broadcast(wanted)
     spread = each_place(docs.withColumn("length", F.explode(F.lit(lengths))), 0).select(hashed)
     counts = spread.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.count("*").alias("places"))
     rarest = (
@@ -125,7 +129,7 @@ def contamination(
     lengths = [r[0] for r in distinct.select(F.least("n", F.lit(SHINGLE_WORDS))).distinct().collect()]
     split = document_words(docs, text, key)
     if lengths:
-        found = materialize(prefixes(split, distinct, lengths), "prefixes")
+        found = materialize(prefixes(split, distinct, lengths, broadcast_bytes), "prefixes")
     else:
         kinds = "hash bigint, offset int, window string, words array<string>, n int"
         found = docs.sparkSession.createDataFrame([], kinds)
