@@ -37,6 +37,8 @@ LEAST_ROWS = 3
 STRONG = 4.0
 L2, RATE, ROUNDS = 2e-4, 0.1, 300
 
+#: Texts whose features a worker holds at once.
+SLICE_ROWS = 64
 #: Lengths of the beginnings of words that are features.
 BEGINNINGS = (5, 6, 7, 8)
 WORD = re.compile(r"[^\W\d_]+")
@@ -54,6 +56,13 @@ def features_of(text: str | None) -> set[str]:
     return found
 
 
+def few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of batches, since the features of a text take many times its size in Python."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(first, SLICE_ROWS)
+
+
 @dataclass
 class OrdinalModel:
     """Weights by word and increasing thresholds; no thresholds: nothing is toxic."""
@@ -117,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             words = [sorted(features_of(x.as_py())) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(words, pa.list_(pa.string()))], ["label", "words"]
@@ -141,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     index = {r["word"]: i for i, r in enumerate(top)}
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             hits = [[index[w] for w in words if w in index] for words in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hits, pa.list_(pa.int32()))], ["label", "hits"])
 
