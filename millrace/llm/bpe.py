@@ -44,7 +44,7 @@ STATES = 9
 NO, YES, UNLESS_CONTRACTED, IF_LAST_BLANK = range(4)
 
 BLOCK = 64
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 SHORT_PIECE = 48
 
 
