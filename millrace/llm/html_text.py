@@ -78,6 +78,8 @@ CONTENT_ZONES = ("body", "article")
 PRIOR_CONTENT, PRIOR_LINK, PRIOR_BOILERPLATE = (8, 1), (1, 2), (1, 8)
 #: Largest absolute weights of a word and of a tag.
 WEIGHT_LIMIT, TAG_LIMIT = 6.0, 3.0
+#: Part of the cost that a tag inside a line has, as a link or bold words.
+INLINE_COST = 0.1
 #: Pages that a fit reads, about; more pages are sampled by a hash of their key.
 FIT_PAGES = 5_000
 
@@ -208,7 +210,8 @@ def tally(page: Page) -> Iterator[tuple[str, bool, int]]:
 def weight(feature: str, inside: int, outside: int) -> float:
     """Log odds of words; of tags a cost that grows with their share outside articles."""
     if feature.startswith("tag "):
-        return -min(TAG_LIMIT, math.log1p((outside + 1) / (inside + 1)))
+        share = INLINE_COST if feature[4:] in INLINE else 1.0
+        return -min(TAG_LIMIT, share * math.log1p((outside + 1) / (inside + 1)))
     _, zone, kind = feature.split()
     prior = PRIOR_BOILERPLATE if zone not in CONTENT_ZONES else PRIOR_LINK if kind == "link" else PRIOR_CONTENT
     odds = math.log((inside + prior[0]) / (outside + prior[1]))
@@ -241,10 +244,13 @@ def main_text(source: str | None, weights: Weights) -> str:
     scores = [weights[run.feature] * (1 if run.tag else run.words) for run in runs]
     first, last = best_region(scores)
     texts: dict[int, list[str]] = {}
+    sums: Counter = Counter()
     for run, score in zip(runs[first:last], scores[first:last]):
-        if not run.tag and score >= 0 and (run.words or run.zone in CONTENT_ZONES):
+        if not run.tag and (run.zone in CONTENT_ZONES or score > 0):
             texts.setdefault(run.block, []).append(run.text)
-    blocks = (" ".join("".join(parts).split()) for parts in texts.values())
+            sums[run.block] += score
+    # A link inside a paragraph stays with it; a block of links alone goes.
+    blocks = (" ".join("".join(parts).split()) for block, parts in texts.items() if sums[block] >= 0)
     return "\n".join(block for block in blocks if block)
 
 

@@ -81,7 +81,7 @@ def strength(groups: DataFrame) -> Column:
     weight = F.sum(n) - F.sum(n * n) / F.sum(n) - freedom
     between = F.when(weight > 0, (spread - freedom) / weight)
     bounded = F.greatest(F.least(between, F.lit(0.5)), F.lit(1 / (MOST_STRENGTH + 1)))
-    return F.coalesce(1 / bounded - 1, F.lit(MOST_STRENGTH))
+    return F.when(between.isNull(), F.lit(MOST_STRENGTH)).otherwise(1 / bounded - 1)
 
 
 def level(counts: DataFrame, name: str, parents: DataFrame | None, above: str | None, mean: float) -> tuple[DataFrame, float]:

@@ -23,9 +23,9 @@ PRIOR = html_text.Weights()
      "main link more words"),
     ("<nav><a>home</a></nav><p>open <p>two<script>if(a<b){'</p>'}</script><style>p{}</style> three <!-- x --> four",
      "open\ntwo three four"),
-    ("<article><h1>T</h1><p>one words</p><div class='ad'>buy</div><p>two words</p><form><label>mail</label></form>"
+    ("<article><h1>Head line</h1><p>one has four words</p><div class='ad'>buy</div><p>two has four words</p><form><label>mail</label></form>"
      "<section class='comments'><article class=comment>hi</article></section></article><footer>f</footer>",
-     "T\none words\ntwo words"),
+     "Head line\none has four words\ntwo has four words"),
     ("<div class='cookie-notice'>we use</div><main><p>text here</p><aside>more</aside></main>", "text here"),
     ("<ul><li>one item<li>two items</ul>", "one item\ntwo items"),
     ("<p>&lt;b&gt; stays &#233; &copy</p><p hidden>no</p>", "<b> stays é ©"),
