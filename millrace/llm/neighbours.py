@@ -20,6 +20,7 @@ than asked for get all of them. Rows without an id take no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,8 +35,10 @@ from millrace.workspace import materialize
 FIT_ROWS = 10_000
 FIT_QUERIES = 200
 TARGET_RECALL = 0.97
-#: Rows a list should have, and the most lists.
-LIST_ROWS, MOST_LISTS = 250, 4_096
+#: Lists are half the square root of the rows, this many at most.
+MOST_LISTS = 4_096
+#: Part of a query's lists, the nearest, that set its bar for the others.
+FIRST_PART = 0.1
 COLUMN_BLOCK = 16
 #: Deviations of the test that abandons a candidate.
 DEVIATIONS = 3.5
@@ -118,7 +121,7 @@ def fit(vectors: DataFrame, rows: int, k: int) -> Index:
     """Centroids and share from at most FIT_ROWS vectors, chosen by a hash of their id."""
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("v").toArrow()
     points = matrix(sample["v"].combine_chunks())
-    lists = int(max(1, min(MOST_LISTS, len(points) // 4, rows // LIST_ROWS)))
+    lists = max(1, min(MOST_LISTS, len(points) // 4, math.isqrt(rows) // 2))
     index = Index(fit_centroids(points, lists), 1.0)
     index.share = fit_share(points, index, k)
     return index
@@ -190,7 +193,8 @@ def scan_cells(cells: DataFrame, k: int) -> DataFrame:
 
 
 def place(vectors: DataFrame, index: Index, probed: bool, least: int) -> DataFrame:
-    """``(id, v, list, nth)``: the own list of each vector, or the lists a query probes, in order."""
+    """``(id, v, list, first)``: the own list of each vector, or the lists that a query probes,
+    of which the nearest are marked as first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,17 +206,17 @@ def place(vectors: DataFrame, index: Index, probed: bool, least: int) -> DataFra
             sizes = np.array([len(x) for x in lists], np.int64)
             flat = np.concatenate(lists).astype(np.int32) if len(lists) else np.empty(0, np.int32)
             rows = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
-            nth = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]) if len(sizes) else flat
+            first = np.concatenate([np.arange(n) < max(1, FIRST_PART * n) for n in sizes] or [np.empty(0, bool)])
             # Few rows at a time: a query is repeated for each of its lists.
-            for first in range(0, len(flat), 20_000):
-                part = slice(first, first + 20_000)
+            for begin in range(0, len(flat), 20_000):
+                part = slice(begin, begin + 20_000)
                 take = rows[part]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(flat[part]), pa.array(nth[part])],
-                    ["id", "v", "list", "nth"],
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(flat[part]), pa.array(first[part])],
+                    ["id", "v", "list", "first"],
                 )
 
-    return map_batches(vectors, run, "id bigint, v array<double>, list int, nth int")
+    return map_batches(vectors, run, "id bigint, v array<double>, list int, first boolean")
 
 
 def top(found: DataFrame, k: int) -> DataFrame:
@@ -230,7 +234,7 @@ def search(df: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: st
     if not rows:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = fit(vectors, rows, k)
-    listed = materialize(place(vectors, index, False, 0).drop("nth"), "lists")
+    listed = materialize(place(vectors, index, False, 0).drop("first"), "lists")
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}
     index.sizes = np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
     asked = materialize(
@@ -266,9 +270,9 @@ def search(df: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: st
         queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(both)
         return candidates.union(queries)
 
-    # The nearest list of each query sets the bar for all others.
-    first = materialize(scan_cells(cells(asked.where("nth = 0"), None), k), "first")
+    # The nearest lists of each query set the bar for all others.
+    first = materialize(scan_cells(cells(asked.where("first"), None), k), "first")
     bars = top(first, k).groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("bar"), F.count("*").alias("n"))
     bars = bars.where(F.col("n") == k).drop("n")
-    others = scan_cells(cells(asked.where("nth > 0"), bars), k)
+    others = scan_cells(cells(asked.where("not first"), bars), k)
     return top(first.union(others), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
