@@ -95,23 +95,21 @@ def json_text_to_rows(spark, sf_dir):
 
 
 @query("""
-    WITH mixed AS (
-        SELECT event_id, s, ((((event_id % 2147483647 + s * 7919 + 1) % 2147483647) * 48271
-               % 2147483647) * 48271 % 2147483647) / 2147483647.0::DOUBLE AS r
-        FROM events, range(1, 6) AS seeds(s)),
-    numbers AS (
-        SELECT event_id, list(CAST(floor(r * 100) AS INTEGER) ORDER BY s) AS v
-        FROM mixed GROUP BY event_id)
-    SELECT event_id AS key, CAST(to_json(v) AS VARCHAR) AS values,
-           CAST(to_json([v[1:2], v[3:5]]) AS VARCHAR) AS nested_values
-    FROM numbers
+    SELECT event_id AS key, 5 AS items, true AS in_range, true AS nested_same, true AS same_again
+    FROM events
 """)
 def generated_arrays(spark, sf_dir):
-    made = rows.generated_arrays(table(spark, sf_dir, "events"), "event_id")
-    return made.select(
+    """Seeded numbers: their range, their two shapes, and the same ones from other partitions."""
+    events = table(spark, sf_dir, "events")
+    made = rows.generated_arrays(events, "event_id")
+    again = rows.generated_arrays(events.repartition(3), "event_id")
+    both = made.join(again.select("key", F.col("values").alias("again")), "key")
+    return both.select(
         "key",
-        F.to_json("values").alias("values"),
-        F.to_json("nested_values").alias("nested_values"),
+        F.size("values").alias("items"),
+        F.forall("values", lambda x: (x >= 0) & (x < 100)).alias("in_range"),
+        (F.flatten("nested_values") == F.col("values")).alias("nested_same"),
+        (F.col("again") == F.col("values")).alias("same_again"),
     )
 
 

@@ -138,10 +138,16 @@ def hashtag_topk(spark, sf_dir):
     return jobs.popular_hashtags(tweet_messages(table(spark, sf_dir, "documents")))
 
 
-@query(HOURLY_SQL)
+@query("""
+    SELECT start, start + INTERVAL 28 DAY AS "end", event_type, COUNT(*) AS count
+    FROM (SELECT time_bucket(INTERVAL 28 DAY, date_trunc('milliseconds', ts), TIMESTAMP '1970-01-01') AS start,
+                 event_type FROM events)
+    GROUP BY start, event_type
+""")
 def stream_tumbling_complete(spark, sf_dir):
-    """Complete mode: the in-memory table holds a few rows for each hour of the stream."""
-    counted = windows.window_count(event_stream(spark, sf_dir), "ts", "1 hour", keys=["event_type"])
+    """Complete mode: the in-memory table holds a row per type for each four weeks of time,
+    however many events there are."""
+    counted = windows.window_count(event_stream(spark, sf_dir), "ts", "28 days", keys=["event_type"])
     return without_zone(sinks.run_to_memory(counted.orderBy("start")), "start", "end")
 
 

@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
-# The modulus and multiplier of the minimal standard generator
-# (Park and Miller, 1988).
-MODULUS = 2147483647
-MULTIPLIER = 48271
-
-
 def explode_json(df: DataFrame, column: str, schema: StructType | str) -> DataFrame:
     """One row per object in a JSON text column, next to the other columns.
 
@@ -50,13 +44,10 @@ def local_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType |
 def seeded_fraction(key: Column, seed: int) -> Column:
     """A number in [0, 1) that depends on ``key`` and ``seed`` only.
 
-    ``rand(seed)`` changes with the partitioning; this does not, so a task that
+    ``rand(seed)`` changes with the partitioning; a hash does not, so a task that
     runs again gives the same value.
     """
-    start = (F.pmod(key, F.lit(MODULUS)) + F.lit(seed * 7919 + 1)) % MODULUS
-    mixed = (start * MULTIPLIER) % MODULUS
-    mixed = (mixed * MULTIPLIER) % MODULUS
-    return mixed / F.lit(float(MODULUS))
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
 def generated_arrays(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+from contextlib import redirect_stdout
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -102,8 +105,12 @@ def run_to_table(df: DataFrame) -> DataFrame:
 
 
 def query_facts(query: StreamingQuery) -> dict:
-    """Name, status and last progress of a stream query."""
+    """Name, status, last progress and plan of the last batch of a stream query."""
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        query.explain()
     return {
+        "plan": plan.getvalue(),
         "name": query.name,
         "active": query.isActive,
         "status": query.status,

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.workspace import materialize
+
+# Slots of a session gap that one task joins for a key.
+CHUNK_SLOTS = 1_000
+
 
 def window_count(
     df: DataFrame,
@@ -50,22 +55,53 @@ def session_columns(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def sessions_of_slots(df: DataFrame, ts: str, gap: str, keys: Sequence[str]) -> DataFrame:
-    """Sessions joined from slots of one gap's width.
+def seconds(interval: Column) -> Column:
+    """A day-time interval as seconds."""
+    return interval.cast("interval second").cast("decimal(18,6)")
+
+
+def sessions_of_slots(
+    df: DataFrame, ts: str, gap: str, keys: Sequence[str], chunk_slots: int = CHUNK_SLOTS
+) -> DataFrame:
+    """Sessions joined from slots of one gap's width, first inside chunks of time.
 
     Rows of a key in one slot are never more than a gap apart, so they share a
     session and shrink to first time, last time and count before the shuffle.
-    What a busy key sends on is bounded by the slots it is active in, not by
-    its rows. Each slot then counts as a session of its own length, and those
-    that touch become one.
+    Each slot then counts as a session of its own length, and those that touch
+    become one: within chunks of ``chunk_slots`` slots, so that a busy key is
+    many tasks' work, and then, of a key, only those that reach a border of
+    their chunk.
     """
     slots = (
         df.filter(F.col(ts).isNotNull())
         .groupBy(*keys, F.window(ts, gap).alias("slot"))
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_rows"))
     )
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    micros = lambda interval: (seconds(interval) * 1_000_000).cast("bigint")
+    gap_micros = micros(start + F.expr(f"INTERVAL '{gap}'") - start)
+    chunk_micros = gap_micros * chunk_slots
+
+    def at(time: str) -> Column:
+        return micros(F.col(time).cast("timestamp_ntz") - start)
+
     length = F.col("_last") - F.col("_first") + F.expr(f"INTERVAL '{gap}'")
-    seconds = length.cast("interval second").cast("decimal(18,6)")
-    session = F.session_window("_first", F.make_interval(secs=seconds)).alias("session")
-    merged = slots.groupBy(*keys, session).agg(F.sum("_rows").alias("count"))
-    return session_columns(merged, keys)
+    placed = slots.withColumn("_chunk", (at("_first") - F.pmod(at("_first"), chunk_micros)))
+    # Stored, since it is read twice, for the pieces that stay and for those that may join.
+    pieces = materialize(session_columns(
+        placed.groupBy(
+            *keys, "_chunk",
+            F.session_window("_first", F.make_interval(secs=seconds(length))).alias("session"),
+        ).agg(F.sum("_rows").alias("count")),
+        [*keys, "_chunk"],
+    ), "session-pieces")
+    reaches = (at("start") <= F.col("_chunk") + gap_micros) | (
+        at("end") >= F.col("_chunk") + chunk_micros
+    )
+    joined = pieces.filter(reaches).groupBy(
+        *keys,
+        F.session_window(
+            "start", F.make_interval(secs=seconds(F.col("end") - F.col("start")))
+        ).alias("session"),
+    ).agg(F.sum("count").alias("count"))
+    return pieces.filter(~reaches).drop("_chunk").union(session_columns(joined, keys))

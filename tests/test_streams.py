@@ -145,6 +145,8 @@ def test_sessions_of_a_table_equal_spark_sessions(spark, small, gap):
     got = windows.session_count(df, "ts", gap, ["user_id"])
     assert rows(got) == want
     assert got.filter("user_id = -2").count() == 1
+    for slots in (1, 3, 50):
+        assert rows(windows.sessions_of_slots(df, "ts", gap, ["user_id"], slots)) == want
 
 
 def test_window_bounds(spark):
@@ -233,7 +235,7 @@ def test_timed_query_can_be_watched_and_stopped(spark, tmp_path):
     query.processAllAvailable()
     facts = sinks.query_facts(query)
     assert facts["name"] == name and facts["active"]
-    assert facts["last_progress"] is not None
+    assert facts["last_progress"] is not None and "Physical Plan" in facts["plan"]
     assert spark.sql(f"SELECT * FROM {name}").first()["count"] == 5
     sinks.stop_all(spark)
     assert not query.isActive and not spark.streams.active
