@@ -35,7 +35,7 @@ GRADES = 3
 LEAST_ROWS = 3
 #: Deviations from which a feature counts as strongly toxic for grading.
 STRONG = 4.0
-L2, RATE, ROUNDS = 2e-4, 0.1, 300
+L2, RATE, ROUNDS = 2e-5, 0.1, 300
 
 #: Texts whose features a worker holds at once.
 SLICE_ROWS = 64
