@@ -132,6 +132,12 @@ def cached(df: DataFrame) -> DataFrame:
     return df
 
 
+def cached_bytes(df: DataFrame) -> int:
+    """Size in memory of a table that :func:`cached` filled, from its plan's statistics."""
+    statistics = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(statistics.sizeInBytes()))
+
+
 def column_statistics(spark: SparkSession, table: str) -> DataFrame:
     """Compute statistics of all columns; one row per column.
 

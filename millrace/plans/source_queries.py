@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.jsontext import as_message
 from millrace.functions.scalars import PLAIN_ISO, parse_ts
 from millrace.operators.groups import collect_values
-from millrace.operators.layout import cached, partition_count, stored_bytes
+from millrace.operators.layout import cached, cached_bytes, partition_count
 from millrace.plans.catalogue import query, table
 from millrace.plans.renderings import envelopes, page_view_rows
 from millrace.sources import files, messages, rows
@@ -192,14 +192,14 @@ def page_views(spark, sf_dir):
     page_view_rows(table(spark, sf_dir, "events")).write.options(
         header=True, sep="\t", compression="gzip"
     ).csv(path)
-    # Text this regular unpacks to about ten times its stored size.
-    partitions = partition_count(
-        10 * stored_bytes(spark, path), spark.sparkContext.defaultParallelism
-    )
-    views = files.read_delimited(spark, path, PAGE_VIEWS, partitions=partitions)
-    parsed = views.select(
+    # The text's size in memory says how many partitions it needs.
+    texts = cached(files.read_delimited(spark, path, PAGE_VIEWS))
+    partitions = partition_count(cached_bytes(texts), spark.sparkContext.defaultParallelism)
+    parsed = texts.repartition(partitions).select(
         parse_ts("timestamp", PLAIN_ISO).cast("timestamp_ntz").alias("created_at"),
         "site",
         "requests",
     )
-    return cached(parsed)
+    views = cached(parsed)
+    texts.unpersist()
+    return views

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.summaries import count_by
 from millrace.plans.catalogue import query, table
 from millrace.plans.renderings import (
     edit_messages,
@@ -151,6 +152,19 @@ def stream_tumbling_complete(spark, sf_dir):
     return without_zone(sinks.run_to_memory(counted.orderBy("start")), "start", "end")
 
 
+@query("SELECT event_type, COUNT(*) AS count FROM events GROUP BY event_type")
+def stream_stopped(spark, sf_dir):
+    """Batches by the clock until all input is in; then stopped, and read by SQL."""
+    name = fresh_name("stream")
+    counts = count_by(event_stream(spark, sf_dir), ["event_type"])
+    running = sinks.start_memory(counts, name, fresh_path(spark, "checkpoint"), every="200 milliseconds")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.sql(f"SELECT event_type, count FROM {name}")
+
+
 @query(f"""
     SELECT * FROM ({HOURLY_SQL})
     WHERE "end" <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events)
