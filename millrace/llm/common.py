@@ -14,6 +14,10 @@ BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: White space as the contracts name it.
 BLANKS = r"[\x20\x09-\x0D]+"
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch that Python workers get.
+BATCH_ROWS = 1_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,7 +53,13 @@ def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
 
     Clusters whose machines do not have it at that path need it installed or passed with
     ``--py-files``, like any library.
+
+    Texts take many times their size in Python, so the session's Arrow batches are held to
+    BATCH_ROWS rows where they are larger.
     """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = df.sparkSession.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
