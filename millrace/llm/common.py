@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 #: Everything that is neither an ASCII letter or digit nor beyond ASCII.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: White space as the contracts name it.
-BLANKS = r"[\x20\x09-\x0D]+"
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows of an Arrow batch that Python workers get.

@@ -19,7 +19,6 @@ its length, where a column holds it); scans read key and text alone.
 
 from __future__ import annotations
 
-import json
 import math
 from dataclasses import dataclass, field
 
@@ -225,14 +224,11 @@ def vote(numbers: Column, trees: list | None) -> Column:
 
 @dataclass
 class Scanner:
-    """Corpus counts and trees; ``to_json`` writes them down."""
+    """Corpus counts and trees."""
 
     corpus: Corpus
     trees: list | None
 
-    def to_json(self) -> str:
-        return json.dumps([self.corpus.transitions, self.corpus.dictionary, self.trees])
-
     def judged(self, found: Column) -> Column:
         return F.transform(found, lambda c: F.struct(
             c["value"].alias("value"), c["piece"].alias("piece"), vote(c["numbers"], self.trees).alias("score")
