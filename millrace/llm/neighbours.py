@@ -2,10 +2,11 @@
 
 Vectors are listed under their nearest centroid. A query probes lists, nearest centroid
 first, until they hold a stated share of all rows. Within a list, vectors and queries are
-rotated by a random orthogonal matrix, so that a few leading dimensions say what the rest
-will bring: after each block of columns, the partial inner product plus DEVIATIONS times the
-expected size of the rest is tested against the k-th best product so far, and candidates that
-fail are abandoned. Survivors are scored exactly on the original vectors in double precision.
+rotated by a random orthogonal matrix, so that every column block holds its share of their
+lengths: after each block, the partial inner product plus the product of the lengths of the
+unseen rests, the most that they can bring, is tested against the k-th best product so far,
+and candidates that fail are abandoned. No candidate that reaches the bar is lost. Survivors
+are scored exactly on the original vectors in double precision.
 
 Centroids and the share come from a sample of at most FIT_ROWS vectors: the smallest share
 that finds TARGET_RECALL of the sample queries' true neighbours. Every row is indexed. Lists
@@ -40,8 +41,6 @@ MOST_LISTS = 4_096
 #: Part of a query's lists, the nearest, that set its bar for the others.
 FIRST_PART = 0.1
 COLUMN_BLOCK = 16
-#: Deviations of the test that abandons a candidate.
-DEVIATIONS = 3.5
 CHUNK_ROWS, BLOCK_QUERIES = 2_048, 512
 SEED = 42
 
@@ -136,6 +135,8 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray, ids:
     turn = rotation(size)
     q, x = queries @ turn, found @ turn
     bars = bars.copy()
+    # Rounding must neither abandon nor part ties, so all that are close to the bar are scored exactly.
+    slack = 1e-9 * (1 + np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max(initial=0))
     alive = query_ids[:, None] != ids[None, :]
     partial = np.zeros(alive.shape)
     for first in range(0, size, COLUMN_BLOCK):
@@ -147,16 +148,13 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray, ids:
             for part in range(0, len(a), 1 << 18):
                 at = slice(part, part + (1 << 18))
                 partial[a[at], b[at]] += np.einsum("ij,ij->i", q[a[at], first:last], x[b[at], first:last])
-        rest = size - last
-        if rest:
-            spread = np.linalg.norm(q[:, last:], axis=1)[:, None] * np.linalg.norm(x[:, last:], axis=1) / np.sqrt(rest)
-            alive &= partial + DEVIATIONS * spread >= bars[:, None]
+        if last < size:
+            most = np.linalg.norm(q[:, last:], axis=1)[:, None] * np.linalg.norm(x[:, last:], axis=1)
+            alive &= partial + most >= (bars - slack)[:, None]
     partial[~alive] = -np.inf
     if len(ids) > k:
         own = np.partition(partial, len(ids) - k, axis=1)[:, len(ids) - k]
         bars = np.maximum(bars, own)
-    # Rounding must not part ties, so all that are close to the bar are scored exactly.
-    slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(bars), bars, 0)))
     a, b = np.nonzero(alive & (partial >= (bars - slack)[:, None]))
     for query in np.unique(a):
         own = b[a == query]

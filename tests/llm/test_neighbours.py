@@ -62,3 +62,15 @@ def test_odd_rows(spark):
     assert found == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 1.0), (20, 1, 1, 2.0), (20, 2, 2, 2.0), (20, 3, 0, 1.0)]
     assert neighbours.search(df.limit(0), lambda i: i % 20 == 0).count() == 0
     assert neighbours.search(df.where("vec_id = 20"), lambda i: i % 20 == 0).count() == 0
+
+
+def test_abandoning_keeps_all_that_reach_the_bar():
+    rng = np.random.default_rng(7)
+    for size in (17, 64, 256):
+        queries = rng.normal(size=(5, size))
+        found = np.concatenate([queries[i] * 0.7 + rng.normal(size=(40, size)) * 0.7 for i in range(5)])
+        ids, asked = np.arange(len(found)), np.arange(1_000, 1_005)
+        products = queries @ found.T
+        bars = np.sort(products, axis=1)[:, -10]
+        got = {q: list(near) for q, near, _ in neighbours.best_of(queries, asked, found, ids, bars, 10)}
+        assert got == {q: list(np.argsort(-products[q], kind="stable")[:10]) for q in range(5)}
