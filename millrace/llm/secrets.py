@@ -1,15 +1,19 @@
 """Secret scans: candidates by character runs, false positives removed by a random forest.
 
-A candidate is a run of 16 or more key characters. The forest sees its length, its classes
+A candidate is a run of 16 or more key characters, a value of any length that is assigned to
+something named like a key (``=`` parts name and value) or follows Bearer or Basic, or a PEM
+private key as a whole. The forest sees its length, its classes
 of characters and how often they change, how likely its letter transitions are in the
 corpus, how much of it dictionary words cover, whether it is part of a path, and the words
 next to it. Transitions and dictionary are counted over all documents. Trees are trained by
 Spark ML on labelled findings, at most FIT_ROWS of each label, and then become column
 expressions, so that a scan is one pass over the texts without a shuffle.
 
-Tables rarely come with labelled findings; ``label_findings`` labels a finding by its place:
-a value with digits and letters assigned to something named like a key is a secret. Without
-both labels in the sample that rule is the score.
+Tables rarely come with labelled findings; ``label_findings`` labels a finding by signs: a
+known key prefix, a PEM private key, or digits and letters behind Bearer or assigned to
+something named like a key (URL parameters too). Runs of unlikely transitions without such a
+sign teach nothing. What has a sign is a secret; calls, variables, addresses and dates are not; the forest judges all else. Without both
+labels in the sample the signs are the score.
 
 Everything is DataFrame functions. Null and empty texts have no candidates. Rows keep their
 number in ``redact``, and repeated rows give repeated findings. Runs of key characters have
@@ -30,8 +34,12 @@ from pyspark.sql import functions as F
 from millrace.llm.common import once, whole
 from millrace.workspace import materialize
 
-KEY_CHARACTERS = "A-Za-z0-9+/_=-"
+KEY_CHARACTERS = r"A-Za-z0-9+/_\-"
 LEAST_LENGTH = 16
+#: Least length of an assigned value that counts as a sign.
+LEAST_ASSIGNED = 6
+#: Mean log chance of transitions below which a run is too unlikely to teach "no secret".
+UNLIKELY = -4.0
 #: Characters looked at before and behind a candidate.
 NEAR = 48
 DICTIONARY_WORDS, DICTIONARY_LETTERS = 200, 3
@@ -40,8 +48,35 @@ TREES, DEPTH, SEED = 25, 5, 42
 THRESHOLD = 0.5
 MARK = "[SECRET]"
 
-NAMES = r"(?i)(token|secret|passw|pwd|api|key|auth|bearer|credential)"
+# How assignments and known keys look.
+NAMES = r"(?i:token|secret|passw|pwd|api|key|auth|bearer|credential)"
+SCHEME = r"(?i:\b(?:bearer|basic)[ \t]{1,4})"
+NAMED = rf"{NAMES}[A-Za-z0-9_-]{{0,20}}[\"'`\]]{{0,2}}[ \t]{{0,4}}(?:=>|:=|[:=])[ \t]{{0,4}}"
 ASSIGNED = r"[:=]\W{0,4}$"
+KNOWN = (
+    r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[pousr]_[A-Za-z0-9]{20}|github_pat_\w{20}|glpat-[\w-]{20}|sk-[\w-]{20}"
+    r"|[sr]k_live_\w{16}|xox[abprs]-[A-Za-z0-9-]{10}|AIza[\w-]{35}|eyJ[\w-]{10,}\.eyJ)"
+)
+PEM = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+#: Unquoted values that are calls, variables, addresses or dates.
+CODE = r"^[\w.]*[(\[{<]|^\$[{(A-Z_]|^https?://|^\.{0,2}/[\w.-]+/[\w.-]+(?:/|$)|^\d{4}-\d\d-\d\d(?:T|$)"
+
+KEY_RUN = f"[{KEY_CHARACTERS}]{{{LEAST_LENGTH}}}"
+#: Where a candidate begins, behind the text before it.
+BEGIN = (
+    rf"(?=[tspakbcTSPAKBC])(?:{NAMED}[\"'`]?{SCHEME}?(?=[^\s\"'`&])|{SCHEME}(?=[\w.~+/-]{{6}}))"
+    rf"|(?<![{KEY_CHARACTERS}])(?={KEY_RUN})(?![{KEY_CHARACTERS}]*?{NAMED}[^\s&])|(?={PEM})|\z"
+)
+VALUE = "|".join([
+    rf"{PEM}(?:[A-Za-z0-9+/=\s\\:,]++(?:-[A-Za-z0-9+/=\s\\:,]++){{0,20}}-----END [A-Z ]{{0,30}}PRIVATE KEY-----|(?:\s{{1,4}}[A-Za-z0-9+/=]{{16,80}}){{0,400}})",
+    *[rf"(?<={NAMED}{quote})[^{quote}\s]+(?={quote})" for quote in "\"'`"],
+    r"eyJ[\w-]{10,}\.eyJ[\w-]{10,}\.[\w-]*",
+    rf"(?<=[?&][\w.-]{{1,40}}=)(?<={NAMED})[^\s&#\"'<>]+",
+    rf"(?<={NAMED}[\"'`]?|{SCHEME})[^\s\"'`<>,;]*[^\s\"'`<>,;.)\]}}]",
+    rf"[{KEY_CHARACTERS}]{{{LEAST_LENGTH},}}+(?:={{1,2}}(?![{KEY_CHARACTERS}=]))?",
+])
+#: Text before a candidate and the candidate; both end to end are the text.
+PIECE = rf"(?s)(.*?(?:{BEGIN}))({VALUE}|)"
 #: Letters a-z, then digits, then all else.
 CODES = 28
 
@@ -100,7 +135,7 @@ def study(docs: DataFrame, text: str = "text") -> Corpus:
 
 FEATURES = [
     "length", "digits", "capitals", "small", "class_changes", "different", "transition", "dictionary",
-    "slashes", "behind_slash", "assigned", "named", "quoted",
+    "slashes", "behind_slash", "assigned", "named", "quoted", "scheme", "known", "pem", "code",
 ]
 
 
@@ -130,8 +165,12 @@ def features(c: Column, corpus: Corpus) -> Column:
     flag = {
         "behind_slash": F.endswith(before, F.lit("/")),
         "assigned": before.rlike(ASSIGNED),
-        "named": before.rlike(NAMES),
+        "named": before.rlike(rf"{NAMED}[\"'`]?{SCHEME}?$"),
         "quoted": before.rlike("[\"'`]$") & after.rlike("^[\"'`]"),
+        "scheme": before.rlike(f"{SCHEME}$"),
+        "known": value.rlike(KNOWN),
+        "pem": value.rlike(f"^{PEM}"),
+        "code": value.rlike(CODE) & ~before.rlike("[\"'`]$"),
     }
     made = {
         "length": F.log(size), "class_changes": (F.length(classes) - 1) / size,
@@ -142,27 +181,27 @@ def features(c: Column, corpus: Corpus) -> Column:
 
 
 def candidates(docs: DataFrame, keep: list[Column], text: Column, corpus: Corpus) -> DataFrame:
-    """The columns to keep, ``head`` (text before the first candidate, behind a blank) and
-    ``found``, an array of ``(value, before, after, piece, numbers)``; head and pieces end to
-    end are the text."""
-    key = f"[{KEY_CHARACTERS}]"
-    pieces = F.split(F.concat(F.lit(" "), whole(text)), f"(?<!{key})(?={key}{{{LEAST_LENGTH}}})")
-    split = docs.select(*keep, once(pieces=pieces).alias("p")).select(*names(keep), F.col("p.pieces").alias("pieces"))
-
-    def candidate(piece: Column, at: Column) -> Column:
-        value = F.regexp_extract(piece, f"^{key}+", 0)
-        return F.struct(value.alias("value"), F.right(F.get("pieces", at), F.lit(NEAR)).alias("before"), piece.alias("piece"))
+    """The columns to keep and ``found``, an array of ``(gap, value, numbers)``; gaps and values
+    end to end are the text. Where a value is empty, its numbers are null."""
+    text = whole(text)
+    split = docs.select(*keep, once(**{
+        name: F.regexp_extract_all(text, F.lit(PIECE), F.lit(group)) for name, group in (("gaps", 1), ("values", 2))
+    }).alias("p")).select(*names(keep), F.col("p.gaps").alias("gaps"), F.col("p.values").alias("values"))
+
+    def candidate(gap: Column, at: Column) -> Column:
+        last = F.when(at > 0, F.get("values", at - 1)).otherwise("")
+        return F.struct(
+            gap.alias("gap"), F.get("values", at).alias("value"), F.right(F.concat(last, gap), F.lit(NEAR)).alias("before"),
+            F.left(F.coalesce(F.get("gaps", at + 1), F.lit("")), F.lit(NEAR)).alias("after"),
+        )
 
     def numbered(c: Column) -> Column:
-        after = F.substring(c["piece"], F.length(c["value"]) + 1, F.lit(NEAR))
-        whole_candidate = F.struct(c["value"].alias("value"), c["before"].alias("before"), after.alias("after"))
         return F.struct(
-            c["value"].alias("value"), c["before"].alias("before"), c["piece"].alias("piece"),
-            features(whole_candidate, corpus).alias("numbers"),
+            c["gap"].alias("gap"), c["value"].alias("value"),
+            F.when(c["value"] != "", features(c, corpus)).alias("numbers"),
         )
 
-    found = F.transform(F.transform(F.slice("pieces", 2, F.size("pieces")), candidate), numbered)
-    return split.select(*names(keep), F.get("pieces", F.lit(0)).alias("head"), found.alias("found"))
+    return split.select(*names(keep), F.transform(F.transform("gaps", candidate), numbered).alias("found"))
 
 
 def names(columns: list[Column]) -> list[str]:
@@ -174,10 +213,12 @@ def kept(columns: list[str]) -> list[Column]:
 
 
 def label_findings(numbers: Column) -> Column:
-    """1 for digits and letters assigned to something named like a key, else 0."""
+    """1 for what has a sign of a secret, null for unlikely runs without one, else 0."""
     at = {name: F.get(numbers, F.lit(i)) for i, name in enumerate(FEATURES)}
     mixed = (at["digits"] > 0) & (at["capitals"] + at["small"] > 0)
-    return ((at["assigned"] > 0) & (at["named"] > 0) & mixed).cast("double")
+    placed = (((at["assigned"] > 0) & (at["named"] > 0)) | (at["scheme"] > 0)) & (at["length"] >= math.log(LEAST_ASSIGNED) - 1e-9)
+    sign = (at["pem"] > 0) | (mixed & ((at["known"] > 0) | (placed & (at["code"] == 0))))
+    return F.when(sign, 1.0).when(mixed & (at["transition"] < UNLIKELY), None).otherwise(0.0)
 
 
 def train(labelled: DataFrame) -> list | None:
@@ -206,9 +247,10 @@ def train(labelled: DataFrame) -> list | None:
 
 
 def vote(numbers: Column, trees: list | None) -> Column:
-    """Share of trees that call a candidate a secret."""
+    """Share of trees that call a candidate a secret; 1 for what has a sign of one."""
+    sign = F.coalesce(label_findings(numbers), F.lit(0.0))
     if trees is None:
-        return label_findings(numbers)
+        return sign
 
     def tree(node) -> Column:
         if isinstance(node, float):
@@ -219,7 +261,8 @@ def vote(numbers: Column, trees: list | None) -> Column:
     total = tree(trees[0])
     for other in trees[1:]:
         total = total + tree(other)
-    return total / len(trees)
+    code = F.get(numbers, F.lit(FEATURES.index("code"))) > 0
+    return F.greatest(sign, F.when(code, 0.0).otherwise(total / len(trees)))
 
 
 @dataclass
@@ -231,7 +274,8 @@ class Scanner:
 
     def judged(self, found: Column) -> Column:
         return F.transform(found, lambda c: F.struct(
-            c["value"].alias("value"), c["piece"].alias("piece"), vote(c["numbers"], self.trees).alias("score")
+            c["gap"].alias("gap"), c["value"].alias("value"),
+            F.when(c["value"] != "", vote(c["numbers"], self.trees)).otherwise(0.0).alias("score"),
         ))
 
 
@@ -239,6 +283,7 @@ def fit(docs: DataFrame, text: str = "text") -> Scanner:
     """Study all documents and train on a bounded sample of their labelled findings."""
     corpus = study(docs, text)
     listed = candidates(docs, [], F.col(text).cast("string"), corpus).select(F.explode("found.numbers").alias("numbers"))
+    listed = listed.where("numbers is not null")
     # Equal findings teach once; a copied text must not outvote the others.
     labelled = listed.distinct().withColumn("label", label_findings(F.col("numbers")))
     return Scanner(corpus, train(materialize(labelled, "labelled")))
@@ -248,15 +293,16 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", key: str = "doc_
     """``(key, start, length, masked, sha256, score)`` for each secret; start counts characters from 0."""
     listed = candidates(docs, kept([key]), F.col(text).cast("string"), scanner.corpus)
     judged = listed.select(
-        "__kept_0", "head", once(all=scanner.judged(F.col("found"))).alias("p")
-    ).select("__kept_0", "head", F.col("p.all").alias("all"))
+        "__kept_0", once(all=scanner.judged(F.col("found"))).alias("p")
+    ).select("__kept_0", F.col("p.all").alias("all"))
     none = F.array().cast("array<struct<start:int,value:string,score:double>>")
-    begin = F.struct((F.length("head") - 1).alias("at"), none.alias("secrets"))
+    begin = F.struct(F.lit(0).alias("at"), none.alias("secrets"))
 
     def step(state: Column, c: Column) -> Column:
-        one = F.struct(state["at"].alias("start"), c["value"].alias("value"), c["score"].alias("score"))
+        start = state["at"] + F.length(c["gap"])
+        one = F.struct(start.alias("start"), c["value"].alias("value"), c["score"].alias("score"))
         return F.struct(
-            (state["at"] + F.length(c["piece"])).alias("at"),
+            (start + F.length(c["value"])).alias("at"),
             F.when(c["score"] >= THRESHOLD, F.concat(state["secrets"], F.array(one)))
             .otherwise(state["secrets"]).alias("secrets"),
         )
@@ -264,7 +310,8 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", key: str = "doc_
     secrets = F.aggregate("all", begin, step, lambda state: state["secrets"])
     return judged.select(F.col("__kept_0").alias(key), F.explode(secrets).alias("s")).select(
         key, F.col("s.start").alias("start"), F.length("s.value").alias("length"),
-        F.rpad(F.left("s.value", F.lit(4)), 8, "*").alias("masked"), F.sha2("s.value", 256).alias("sha256"),
+        # Of a short secret nothing is shown.
+        F.rpad(F.when(F.length("s.value") < LEAST_LENGTH, "").otherwise(F.left("s.value", F.lit(4))), 8, "*").alias("masked"), F.sha2("s.value", 256).alias("sha256"),
         F.col("s.score").alias("score"),
     )
 
@@ -277,12 +324,11 @@ def redact(docs: DataFrame, scanner: Scanner, text: str = "text", length: str |
     )
 
     def cleaned(c: Column) -> Column:
-        rest = F.substring(c["piece"], F.length(c["value"]) + 1, F.length(c["piece"]))
-        return F.when(c["score"] >= THRESHOLD, F.concat(F.lit(MARK), rest)).otherwise(c["piece"])
+        return F.concat(c["gap"], F.when(c["score"] >= THRESHOLD, F.lit(MARK)).otherwise(c["value"]))
 
-    joined = F.concat(F.col("head"), F.array_join(F.transform("p.all", cleaned), ""))
+    joined = F.array_join(F.transform("p.all", cleaned), "")
     fresh = judged.select(
-        *names(docs.columns), once(text=F.substring(joined, 2, F.length(joined))).alias("p")
+        *names(docs.columns), once(text=joined).alias("p")
     )
     was = dict(zip(docs.columns, names(docs.columns)))
     out = []
