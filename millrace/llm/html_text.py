@@ -5,7 +5,8 @@ A page is a sequence of words and tags. Each word has a weight by the zone it st
 has a negative weight. The weights are log odds counted on labelled pages: pages that mark
 exactly one article themselves, whose words inside it are content and all others are not.
 A linear scan finds the contiguous region of the largest sum. Blocks of that region whose
-own words weigh negative (an advert between two paragraphs) are left out.
+own words weigh negative (an advert between two paragraphs) are left out. Boilerplate inside
+an article weighs nothing, so however long it is, it parts no article; its words stay out.
 
 Null and empty pages, and pages without words of positive weight, give an empty text. Of
 regions with equal sums the first counts. Pages are read whole, however long; broken markup
@@ -116,6 +117,7 @@ class Run:
     tag: str = ""
     text: str = ""
     words: int = 0
+    nested: bool = False  # in boilerplate inside an article
 
     @property
     def feature(self) -> str:
@@ -129,6 +131,10 @@ class Open:
     link: bool
     article: bool
 
+    @property
+    def nested(self) -> bool:
+        return self.article and self.zone not in CONTENT_ZONES
+
 
 @dataclass(slots=True)
 class Page:
@@ -150,7 +156,9 @@ def parse(source: str) -> Page:
         if text:
             text = html.unescape(text)
             top = stack[-1]
-            page.runs.append(Run(block, top.zone, top.link, top.article, "", text, len(text.split())))
+            page.runs.append(
+                Run(block, top.zone, top.link, top.article, "", text, len(text.split()), top.nested)
+            )
 
     while at < size:
         found = MARKUP.search(source, at)
@@ -169,7 +177,8 @@ def parse(source: str) -> Page:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
                 at = end.end() if end else size
             continue
-        page.runs.append(Run(block, inside=stack[-1].article, tag=name))
+        tag = Run(block, inside=stack[-1].article, tag=name, nested=stack[-1].nested)
+        page.runs.append(tag)
         if name == "br":
             page.runs.append(Run(block, stack[-1].zone, text=" "))
         if name not in INLINE:
@@ -190,6 +199,7 @@ def parse(source: str) -> Page:
             page.articles += article and not above.article
             counts[name] += 1
             stack.append(Open(name, zone, above.link or name == "a", article))
+            tag.nested = stack[-1].nested
     for run in page.runs:
         run.inside = run.inside and (bool(run.tag) or run.zone in CONTENT_ZONES)
     return page
@@ -241,7 +251,7 @@ def best_region(scores: Sequence[float]) -> tuple[int, int]:
 def main_text(source: str | None, weights: Weights) -> str:
     """The text of the best region, a block a line."""
     runs = parse(source or "").runs
-    scores = [weights[run.feature] * (1 if run.tag else run.words) for run in runs]
+    scores = [0.0 if run.nested else weights[run.feature] * (1 if run.tag else run.words) for run in runs]
     first, last = best_region(scores)
     texts: dict[int, list[str]] = {}
     sums: Counter = Counter()

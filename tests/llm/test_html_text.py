@@ -68,3 +68,11 @@ def test_query_finds_the_marked_article_of_every_page(spark, small):
         blocks = (html.unescape(re.sub("<[^>]+>", "", b)) for b in re.split(r"</?(?:p|h1|br)>", inner))
         assert row["text"] == "\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
         assert row["n_chars"] == len(row["text"]) and row["url"] == sources[row["page_id"]]["url"]
+
+
+@pytest.mark.parametrize("insert", ["<form>{}</form>", "<div class=ad><p>{}</p></div>", "<aside><ul><li>{}</ul></aside>"])
+def test_inserts_longer_than_the_parts_around_them(insert):
+    intro, body, end = ("in " * 20).strip(), ("body " * 200).strip(), ("end " * 5).strip()
+    short, long = insert.format("sign up " * 15), insert.format("buy now " * 400)
+    page = f"<nav>home</nav><article><p>{intro}</p>{short}<p>{body}</p>{long}<p>{end}</p></article><footer>f</footer>"
+    assert html_text.main_text(page, PRIOR).split() == f"{intro} {body} {end}".split()
