@@ -7,6 +7,10 @@ exactly one article themselves, whose words inside it are content and all others
 A linear scan finds the contiguous region of the largest sum. Blocks of that region whose
 own words weigh negative (an advert between two paragraphs) are left out. Boilerplate inside
 an article weighs nothing, so however long it is, it parts no article; its words stay out.
+Elsewhere a stretch of boilerplate between two parts of one parent element costs no more than
+INSERT_LIMIT, so that a long insert does not cut off what stands before it. Linked blocks of an
+article stay; outside of one, a block of links goes if the block before or after it is one too,
+as in a menu.
 
 Null and empty pages, and pages without words of positive weight, give an empty text. Of
 regions with equal sums the first counts. Pages are read whole, however long; broken markup
@@ -22,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -81,6 +86,8 @@ PRIOR_CONTENT, PRIOR_LINK, PRIOR_BOILERPLATE = (8, 1), (1, 2), (1, 8)
 WEIGHT_LIMIT, TAG_LIMIT = 6.0, 3.0
 #: Part of the cost that a tag inside a line has, as a link or bold words.
 INLINE_COST = 0.1
+#: Most that a stretch of boilerplate between two parts of one element takes off the sum.
+INSERT_LIMIT = 24.0
 #: Pages that a fit reads, about; more pages are sampled by a hash of their key.
 FIT_PAGES = 5_000
 
@@ -118,6 +125,13 @@ class Run:
     text: str = ""
     words: int = 0
     nested: bool = False  # in boilerplate inside an article
+    parent: Open | None = None  # of boilerplate: the content element around it
+    seen: int = 0  # words of content before it
+
+    @property
+    def between(self) -> bool:
+        """Boilerplate with content before and after it in the element around it."""
+        return self.parent is not None and self.parent.started < self.seen < self.parent.ended
 
     @property
     def feature(self) -> str:
@@ -130,6 +144,9 @@ class Open:
     zone: str
     link: bool
     article: bool
+    parent: Open | None = None  # of boilerplate: the content element around it
+    started: int = 0  # words of content before it, and before its end
+    ended: int = 0
 
     @property
     def nested(self) -> bool:
@@ -145,20 +162,24 @@ class Page:
 def parse(source: str) -> Page:
     """The runs of words and tags of a page, in order, with their blocks and zones."""
     page, stack, counts = Page(), [Open("", "body", False, False)], Counter()
-    block, at, size = 0, 0, len(source)
+    block, at, size, seen = 0, 0, len(source), 0
 
     def close(depth: int) -> None:
         for element in stack[depth:]:
             counts[element.name] -= 1
+            element.ended = seen
         del stack[depth:]
 
     def say(text: str) -> None:
+        nonlocal seen
         if text:
             text = html.unescape(text)
-            top = stack[-1]
+            top, words = stack[-1], len(text.split())
             page.runs.append(
-                Run(block, top.zone, top.link, top.article, "", text, len(text.split()), top.nested)
+                Run(block, top.zone, top.link, top.article, "", text, words, top.nested, top.parent, seen)
             )
+            if top.zone in CONTENT_ZONES:
+                seen += words
 
     while at < size:
         found = MARKUP.search(source, at)
@@ -177,7 +198,8 @@ def parse(source: str) -> Page:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
                 at = end.end() if end else size
             continue
-        tag = Run(block, inside=stack[-1].article, tag=name, nested=stack[-1].nested)
+        top = stack[-1]
+        tag = Run(block, inside=top.article, tag=name, nested=top.nested, parent=top.parent, seen=seen)
         page.runs.append(tag)
         if name == "br":
             page.runs.append(Run(block, stack[-1].zone, text=" "))
@@ -198,8 +220,10 @@ def parse(source: str) -> Page:
             article = above.article or (zone == "article" and above.zone == "body")
             page.articles += article and not above.article
             counts[name] += 1
-            stack.append(Open(name, zone, above.link or name == "a", article))
-            tag.nested = stack[-1].nested
+            parent = None if zone in CONTENT_ZONES else above.parent or above
+            stack.append(Open(name, zone, above.link or name == "a", article, parent, seen))
+            tag.nested, tag.parent = stack[-1].nested, parent
+    close(0)
     for run in page.runs:
         run.inside = run.inside and (bool(run.tag) or run.zone in CONTENT_ZONES)
     return page
@@ -248,20 +272,42 @@ def best_region(scores: Sequence[float]) -> tuple[int, int]:
     return region
 
 
+def run_scores(runs: Sequence[Run], weights: Weights) -> list[float]:
+    """Scores of runs; what lies between parts of one element is scaled to INSERT_LIMIT."""
+    scores = []
+    for run in runs:
+        score = 0.0 if run.nested else weights[run.feature] * (1 if run.tag else run.words)
+        # Links of an article are part of it.
+        scores.append(max(score, 0.0) if run.inside and run.link and not run.tag else score)
+    for _, stretch in groupby(range(len(runs)), lambda i: runs[i].seen if runs[i].between else None):
+        places = list(stretch)
+        if runs[places[0]].between:
+            cost = -sum(scores[i] for i in places)
+            if cost > INSERT_LIMIT:
+                for i in places:
+                    scores[i] *= INSERT_LIMIT / cost
+    return scores
+
+
 def main_text(source: str | None, weights: Weights) -> str:
-    """The text of the best region, a block a line."""
+    """The text of the best region, an empty line between its blocks."""
     runs = parse(source or "").runs
-    scores = [0.0 if run.nested else weights[run.feature] * (1 if run.tag else run.words) for run in runs]
+    scores = run_scores(runs, weights)
     first, last = best_region(scores)
     texts: dict[int, list[str]] = {}
-    sums: Counter = Counter()
+    plain: set[int] = set()  # blocks with words outside links, or in an article
     for run, score in zip(runs[first:last], scores[first:last]):
         if not run.tag and (run.zone in CONTENT_ZONES or score > 0):
             texts.setdefault(run.block, []).append(run.text)
-            sums[run.block] += score
-    # A link inside a paragraph stays with it; a block of links alone goes.
-    blocks = (" ".join("".join(parts).split()) for block, parts in texts.items() if sums[block] >= 0)
-    return "\n".join(block for block in blocks if block)
+            if run.words and (run.inside or not run.link):
+                plain.add(run.block)
+    blocks = [(block in plain, text) for block, parts in texts.items() if (text := " ".join("".join(parts).split()))]
+    kept = [
+        text
+        for i, (own, text) in enumerate(blocks)
+        if own or all(blocks[k][0] for k in (i - 1, i + 1) if 0 <= k < len(blocks))
+    ]
+    return "\n\n".join(kept)
 
 
 def fit(pages: DataFrame, key: str = "page_id", source: str = "html", at_most: int = FIT_PAGES) -> Weights:
