@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import string
 
+from millrace.llm import centroids
 from millrace.llm.decontaminate import ONE_IN, WINDOW_WORDS
 from millrace.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, template_words
 
@@ -79,3 +80,55 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, firs
     CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
 FROM d LEFT JOIN base USING (r) LEFT JOIN met USING (r)
 """
+
+
+DISTANCE = "list_sum(list_transform(range(1, len(p) + 1), lambda i: (p[i] - c[i]) * (p[i] - c[i])))"
+
+
+def nearest(name: str, centres: str) -> str:
+    """Each vector's nearest centroid."""
+    return f"""
+{name} AS (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(p) AS p, min(d) AS distance, arg_min(k, d * 1000 + k) AS k
+    FROM (SELECT r, vec_id, p, k, {DISTANCE} AS d FROM v, {centres}) GROUP BY r
+)"""
+
+
+def moved(name: str, assigned: str, centres: str) -> str:
+    """Centroids after a round: floors of means, empty ones as they were."""
+    return f"""
+{name} AS (
+    SELECT o.k, coalesce(m.c, o.c) AS c FROM {centres} o LEFT JOIN (
+        SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c
+        FROM (
+            SELECT k, i, sum(x) AS s, count(*) AS n
+            FROM (SELECT k, unnest(p) AS x, unnest(range(1, len(p) + 1)) AS i FROM {assigned}) GROUP BY k, i
+        ) GROUP BY k
+    ) m USING (k)
+)"""
+
+
+def centroid_rounds(rounds: int) -> str:
+    steps = []
+    for i in range(rounds):
+        steps += [nearest(f"a{i}", f"c{i}"), moved(f"c{i + 1}", f"a{i}", f"c{i}")]
+    return ",".join([*steps, nearest("found", f"c{rounds}")])
+
+
+CENTROIDS = f"""
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+    FROM embeddings
+    WHERE len(embedding) = {centroids.DIMENSIONS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {centroids.DIMENSIONS}
+),
+c0 AS (
+    SELECT row_number() OVER (ORDER BY m, p) - 1 AS k, p AS c
+    FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS m, p FROM v ORDER BY m, p LIMIT {centroids.CLUSTERS})
+),{centroid_rounds(centroids.ROUNDS)}
+SELECT vec_id, CAST(found.k AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+    CAST(sum(distance) OVER (PARTITION BY found.k) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN c{centroids.ROUNDS} USING (k)
+"""

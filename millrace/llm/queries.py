@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import (
     bpe,
+    centroids,
     decontaminate,
     html_text,
     licenses,
@@ -83,12 +84,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_html, op2_secrets, op3_quality, op4_toxicity, op5_simhash, op6_bpe, op7_neighbours,
-        op8_decontamination, op9_urls, op10_licenses,
+        op8_decontamination, op9_urls, op10_licenses, op11_centroids,
     )
 }
 #: The other operators train models, search approximately, or hash and cut in ways SQL lacks.
-ORACLES = {"op8_decontamination": oracles.DECONTAMINATION, "op10_licenses": oracles.LICENSES}
+ORACLES = {
+    "op8_decontamination": oracles.DECONTAMINATION,
+    "op10_licenses": oracles.LICENSES,
+    "op11_centroids": oracles.CENTROIDS,
+}
