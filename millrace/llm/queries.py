@@ -14,6 +14,7 @@ from millrace.llm import (
     licenses,
     neighbours,
     oracles,
+    periodic,
     quality,
     reputation,
     secrets,
@@ -88,11 +89,16 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_html, op2_secrets, op3_quality, op4_toxicity, op5_simhash, op6_bpe, op7_neighbours,
         op8_decontamination, op9_urls, op10_licenses, op11_centroids,
+        op12_periodic,
     )
 }
 #: The other operators train models, search approximately, or hash and cut in ways SQL lacks.
