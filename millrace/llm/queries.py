@@ -15,6 +15,7 @@ from millrace.llm import (
     neighbours,
     oracles,
     periodic,
+    personal,
     quality,
     reputation,
     secrets,
@@ -93,12 +94,16 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"))
 
 
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_html, op2_secrets, op3_quality, op4_toxicity, op5_simhash, op6_bpe, op7_neighbours,
         op8_decontamination, op9_urls, op10_licenses, op11_centroids,
-        op12_periodic,
+        op12_periodic, op13_personal,
     )
 }
 #: The other operators train models, search approximately, or hash and cut in ways SQL lacks.
