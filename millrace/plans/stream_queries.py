@@ -13,6 +13,7 @@ from millrace.plans.renderings import (
     stored_lines,
     tweet_messages,
 )
+from millrace.sources import drift
 from millrace.sources.ingest import json_file_stream
 from millrace.sources.messages import (
     file_stream,
@@ -242,3 +243,61 @@ def file_ingest(spark, sf_dir):
         "event_id", F.date_trunc("millisecond", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("ts"),
         "user_id", "event_type", "value", "props", lineage.alias("has_lineage"),
     )
+
+
+DRIFT_STAGES = 3
+
+
+def drifting_lines(events, stage):
+    """One delivery of events as JSON lines: later ones add and retype fields; some lines are cut."""
+    amount = F.floor("value")
+    fields = [
+        F.col("event_id"),
+        F.col("event_type") if stage < 2 else F.array("event_type").alias("event_type"),
+        (amount, amount + F.lit(0.5), F.concat(F.lit("about "), amount.cast("string")))[stage].alias("amount"),
+    ]
+    if stage > 0:
+        fields.append(F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    if stage > 1:
+        fields.append(F.struct("user_id").alias("who"))
+    line = F.to_json(F.struct(*fields))
+    cut = F.when(F.col("event_id") % 7 == 0, line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
+    return events.where(F.col("event_id") % DRIFT_STAGES == stage).select(cut.alias("value"))
+
+
+@query("""
+    WITH lines AS (
+        SELECT event_id, event_id % 3 AS stage, event_id % 7 = 0 AS cut, user_id,
+               CASE event_id % 3 WHEN 2 THEN '["' || event_type || '"]' ELSE event_type END AS event_type,
+               CAST(floor(value) AS BIGINT)::VARCHAR AS whole,
+               CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+        FROM events),
+    shown AS (
+        SELECT event_id, stage, cut, event_type, user_id,
+               CASE stage WHEN 0 THEN whole WHEN 1 THEN whole || '.5' ELSE 'about ' || whole END AS amount,
+               CASE WHEN stage > 0 THEN k END AS k,
+               CASE WHEN stage > 1 THEN '{"user_id":' || user_id || '}' END AS who
+        FROM lines)
+    SELECT CASE WHEN NOT cut THEN event_id END AS event_id, CASE WHEN NOT cut THEN event_type END AS event_type,
+           CASE WHEN NOT cut THEN amount END AS amount, CASE WHEN NOT cut THEN k END AS k,
+           CASE WHEN NOT cut THEN who END AS who, CAST(NULL AS VARCHAR) AS rescued,
+           CASE WHEN cut THEN
+               '{"event_id":' || event_id || ',"event_type":' ||
+               CASE WHEN stage < 2 THEN '"' || event_type || '"' ELSE event_type END || ',"amount":' ||
+               CASE WHEN stage < 2 THEN amount ELSE '"' || amount || '"' END ||
+               CASE WHEN k IS NOT NULL THEN ',"k":' || k ELSE '' END || coalesce(',"who":' || who, '')
+           END AS broken,
+           CASE stage WHEN 2 THEN 2 ELSE 1 END AS written_under
+    FROM shown
+""")
+def drifting_ingest(spark, sf_dir):
+    """Three deliveries, each taken in by a new start, and a start after them; read under the last schema."""
+    events = table(spark, sf_dir, "events")
+    root = fresh_path(spark, "drift")
+    path, target, checkpoint, store = (f"{root}/{part}" for part in ("lines", "rows", "checkpoint", "schemas"))
+    for stage in range(DRIFT_STAGES + 1):
+        if stage < DRIFT_STAGES:
+            drifting_lines(events, stage).write.mode("append").text(path)
+        drift.start_ingest(spark, path, target, checkpoint, store).awaitTermination()
+    rows = drift.read_ingested(spark, target, store)
+    return rows.drop("source_file", "processing_time").withColumnRenamed(drift.VERSION, "written_under")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+from collections.abc import Sequence
 from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +88,32 @@ def start_table(
         return writer.toTable(table)
 
 
+def start_files(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    every: str | None = None,
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """Append a stream to Parquet files below ``path``, each input row once.
+
+    Readers of the folder see the rows of finished batches only.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    spark = df.sparkSession
+    writer = (
+        df.writeStream.outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .option("path", path)
+        .partitionBy(*partition_by)
+        .trigger(**trigger)
+    )
+    with settings(spark, stream_settings(spark, partitions)):
+        return writer.start()
+
+
 def run_to_memory(df: DataFrame, mode: str = "complete") -> DataFrame:
     """Process what is available and give the in-memory table."""
     spark = df.sparkSession
