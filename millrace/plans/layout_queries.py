@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import layout, versions
+from millrace.operators import joins, layout, versions
 from millrace.plans.catalogue import query, table, table_path
 from millrace.workspace import fresh_name, fresh_path
 
 OVERWRITES = 3
 SALTS = 8
 LOOKUP_FILES = 32
+JOIN_SALTS = 2
 
 
 def slots(spark):
@@ -62,6 +63,23 @@ def bucketed_agg(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, l_quantity, o_orderdate, o_orderpriority
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+""")
+def bucketed_join(spark, sf_dir):
+    """Lines and their orders lie in equal buckets; the join moves no rows."""
+    names = [fresh_name(name) for name in ("lineitem", "orders")]
+    paths = [fresh_path(spark, f"{name}-bucketed") for name in ("lineitem", "orders")]
+    buckets = layout.partition_count(table_bytes(spark, sf_dir, "lineitem"), slots(spark), layout.BUCKET_BYTES)
+    joins.write_for_join(
+        table(spark, sf_dir, "lineitem"), names[0], paths[0], table(spark, sf_dir, "orders"), names[1], paths[1],
+        "l_orderkey", "o_orderkey", buckets, JOIN_SALTS,
+    )
+    joined = joins.join_buckets(spark, *names, "l_orderkey", "o_orderkey")
+    return joined.select("l_orderkey", "l_linenumber", "l_quantity", "o_orderdate", "o_orderpriority")
+
+
 @query("SELECT o_orderstatus, COUNT(*) AS orders FROM orders GROUP BY o_orderstatus")
 def registered_files(spark, sf_dir):
     name, path = fresh_name("orders"), fresh_path(spark, "orders-by-status")

@@ -13,7 +13,7 @@ from millrace.functions.scalars import (
     identifier,
     parse_ts,
 )
-from millrace.operators import groups, positions, summaries
+from millrace.operators import groups, joins, positions, summaries
 from millrace.plans.catalogue import query, table
 from millrace.plans.renderings import log_lines
 
@@ -83,6 +83,21 @@ def equi_join(spark, sf_dir):
     return joined.select("o_orderkey", "c_name", "c_mktsegment")
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, "key", s_name, s_nationkey
+    FROM (SELECT *, CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE l_suppkey END AS "key" FROM lineitem)
+    LEFT JOIN supplier ON "key" = s_suppkey
+""")
+def heavy_key_join(spark, sf_dir):
+    """Half of the rows have one key; they go to as many tasks as their number asks for."""
+    key = F.when(F.col("l_orderkey") % 2 == 0, F.lit(1)).otherwise(F.col("l_suppkey"))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", key.cast("long").alias("key"))
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("long").alias("key"), "s_name", "s_nationkey"
+    )
+    return joins.join_with_heavy_keys(items, suppliers, ["key"], "left", spread=["l_orderkey", "l_linenumber"])
+
+
 @query("""
     SELECT event_id, o_orderkey
     FROM (SELECT event_id, row_number() OVER (ORDER BY event_id DESC) AS r FROM events)
