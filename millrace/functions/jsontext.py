@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -53,4 +54,6 @@ def schema_of_messages(df: DataFrame, column: str) -> StructType:
     merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("schema")).first()[0]
     if not merged or not merged.startswith("OBJECT"):
         return StructType([])
-    return StructType.fromDDL(f"j {merged.replace('OBJECT<', 'STRUCT<')}")["j"].dataType
+    # Names that are no plain words stand in backticks, and are left as they are.
+    declared = re.sub(r"(`(?:[^`]|``)*`)|\bOBJECT<", lambda part: part[1] or "STRUCT<", merged)
+    return StructType.fromDDL(f"j {declared}")["j"].dataType

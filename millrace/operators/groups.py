@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,10 +12,23 @@ from millrace.operators.positions import in_ranges
 from millrace.workspace import materialize
 
 
-def same_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Equal in all columns, null with null."""
-    pairs = [left[c].eqNullSafe(right[c]) for c in columns]
-    return reduce(lambda a, b: a & b, pairs)
+def carries(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_part``, ``_first`` and ``_before``: what the first group of each range has in earlier ranges.
+
+    Ranges are sorted by key, so no other group of a range can start before it. There is one row
+    for each range, however many groups there are.
+    """
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    edges = placed.groupBy("_part").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    last = placed.join(edges.select("_part", "_last"), "_part").where(key.eqNullSafe(F.col("_last")))
+    # The last group of a range may go on in later ones; the first asks what came before.
+    ends = last.groupBy("_part", F.col("_last").alias("_key")).agg(F.sum("_n").alias("_sum"))
+    marks = ends.select("_part", "_key", F.lit(1).alias("_end"), "_sum").unionByName(
+        edges.select("_part", F.col("_first").alias("_key"), F.lit(0).alias("_end"), F.lit(0).cast("bigint").alias("_sum"))
+    )
+    earlier = W.partitionBy("_key").orderBy("_part", "_end").rowsBetween(W.unboundedPreceding, -1)
+    found = marks.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    return found.where(F.col("_end") == 0).select("_part", F.col("_key").alias("_first"), "_before")
 
 
 def with_start(counted: DataFrame, keys: Sequence[str], value: str, ranges: int | None) -> DataFrame:
@@ -24,21 +36,17 @@ def with_start(counted: DataFrame, keys: Sequence[str], value: str, ranges: int
 
     ``counted`` has one row for each different value of a group, with its number in ``_n``,
     so a value that fills a group is a single row. Rows are stored in ranges of key and
-    value; sums per range and group, one small row each, say where a range starts.
+    value; one small row a range says how far its first group has come before it.
     """
-    order = [*keys, value]
     placed = materialize(
-        in_ranges(counted, order, ranges).withColumn("_part", F.spark_partition_id()), "values"
-    )
-    part_and_keys = ["_part", *keys]
-    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    sums = placed.groupBy(*part_and_keys).agg(F.sum("_n").alias("_sum")).withColumn(
-        "_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))
+        in_ranges(counted, [*keys, value], ranges).withColumn("_part", F.spark_partition_id()), "values"
     )
-    inside = W.partitionBy(*part_and_keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_part", *keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     local = placed.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    return local.join(sums, same_group(local, sums, part_and_keys)).select(
-        *[local[c] for c in (*keys, value, "_n")], (F.col("_before") + F.col("_inside")).alias("_start")
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    before = F.when(key.eqNullSafe(F.col("_first")), F.col("_before")).otherwise(0)
+    return local.join(carries(placed, keys), "_part").select(
+        *keys, value, "_n", (before + F.col("_inside")).alias("_start")
     )
 
 

@@ -9,13 +9,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.hashing import row_hash
-from millrace.workspace import materialize
+from millrace.workspace import materialize, settings
 
 # monotonically_increasing_id keeps the position within a partition below this bit.
 POSITION_BITS = 33
 
 # Up to this many rows a limit after a sort is merged from one short list per task.
 SHORT_LIMIT = 1_000
+# Up to this rank Spark cuts the rows of a task before the shuffle of a ranking.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def in_ranges(df: DataFrame, order: Sequence[Column | str], ranges: int | None) -> DataFrame:
@@ -97,6 +99,16 @@ def positional_join(
     return first.join(second, "_row").drop("_row")
 
 
+def first_of_each_task(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """Of each input partition the first ``n`` rows, which hold the first ``n`` of all.
+
+    Under GROUP_LIMIT a task cuts its rows before they are shuffled.
+    """
+    rank = F.row_number().over(W.partitionBy("_task").orderBy(*order, row_hash(df)))
+    ranked = df.withColumn("_task", F.spark_partition_id()).withColumn("_rank", rank)
+    return ranked.where(F.col("_rank") <= n).select(*df.columns)
+
+
 def sort_limit(
     df: DataFrame,
     order_by: Sequence[str],
@@ -108,15 +120,16 @@ def sort_limit(
     """The first ``n`` rows of the sorted table.
 
     Up to ``short`` rows this is a top-k; a longer prefix would pass every task's first
-    ``n`` rows through a single task, so rows are numbered in sorted ranges and those up to
-    ``n`` are kept. Both orders end in the same hash of the row, so ``short`` decides how
-    the rows are found and never which.
+    ``n`` rows through a single task, so each task keeps its own first ``n``, and these are
+    numbered in sorted ranges and kept up to ``n``. Both orders end in the same hash of the
+    row, so ``short`` decides how the rows are found and never which.
     """
     ups = [ascending] * len(order_by) if isinstance(ascending, bool) else list(ascending)
     order = [F.asc(c) if up else F.desc(c) for c, up in zip(order_by, ups, strict=True)]
     if n <= short:
         return df.orderBy(*order, row_hash(df)).limit(n)
-    placed, offsets = place_rows(df, order, ranges)
+    with settings(df.sparkSession, {GROUP_LIMIT: str(n + 1)}):
+        placed, offsets = place_rows(first_of_each_task(df, order, n), order, ranges)
     last = offsets.filter(F.col("_before") < n).agg(F.max("_part")).first()[0]
     needed = placed.filter(F.col("_part") <= F.lit(last if last is not None else -1))
     kept = numbered(needed, offsets, "_row", 0, df.columns).filter(F.col("_row") < n)

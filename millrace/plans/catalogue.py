@@ -7,6 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.workspace import settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -22,8 +24,9 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return build(spark, sf_dir)
+            # Expressions take the zone over when they are resolved, which is as they are built.
+            with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+                return build(spark, sf_dir)
 
         QUERIES[build.__name__] = run
         if oracle is not None:

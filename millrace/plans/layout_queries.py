@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from millrace.operators import joins, layout, versions
+from millrace.operators import compaction, joins, layout, lookups, sketches, versions
 from millrace.plans.catalogue import query, table, table_path
 from millrace.workspace import fresh_name, fresh_path
 
@@ -12,6 +14,9 @@ OVERWRITES = 3
 SALTS = 8
 LOOKUP_FILES = 32
 JOIN_SALTS = 2
+# Three standard errors of the catalog's estimate of different values.
+DISTINCT_SHARE = 0.15
+LOOKUP_GROUPS, LOOKUP_PART = 400, 77
 
 
 def slots(spark):
@@ -179,28 +184,37 @@ def partition_files(spark, sf_dir):
     )
 
 
-@query("""
-    SELECT 'o_orderkey' AS col_name, min(o_orderkey)::VARCHAR AS min, max(o_orderkey)::VARCHAR
-           AS max, COUNT(*) FILTER (o_orderkey IS NULL) AS num_nulls FROM orders
-    UNION ALL
-    SELECT 'o_custkey', min(o_custkey)::VARCHAR, max(o_custkey)::VARCHAR,
-           COUNT(*) FILTER (o_custkey IS NULL) FROM orders
-    UNION ALL
-    SELECT 'o_orderstatus', NULL, NULL, COUNT(*) FILTER (o_orderstatus IS NULL) FROM orders
-    UNION ALL
-    SELECT 'o_totalprice', min(o_totalprice)::VARCHAR, max(o_totalprice)::VARCHAR,
-           COUNT(*) FILTER (o_totalprice IS NULL) FROM orders
-    UNION ALL
-    SELECT 'o_orderdate', strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S.%f'),
-           strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S.%f'),
-           COUNT(*) FILTER (o_orderdate IS NULL) FROM orders
-    UNION ALL
-    SELECT 'o_orderpriority', NULL, NULL, COUNT(*) FILTER (o_orderpriority IS NULL) FROM orders
-""")
+def stats_sql():
+    """Per column: least and greatest as texts where statistics have them, nulls and different values."""
+    shown = {
+        "o_orderstatus": ("CAST(NULL AS VARCHAR)",) * 2, "o_orderpriority": ("CAST(NULL AS VARCHAR)",) * 2,
+        "o_orderdate": ("strftime(min({0}), '%Y-%m-%d %H:%M:%S.%f')", "strftime(max({0}), '%Y-%m-%d %H:%M:%S.%f')"),
+    }
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS col_name, {least} AS min, {greatest} AS max, COUNT(*) FILTER ({c} IS NULL) AS num_nulls,"
+        f" COUNT(DISTINCT {c}) AS exact_distinct, true AS distinct_close FROM orders"
+        for c in columns
+        for least, greatest in [
+            tuple(x.format(c) for x in shown.get(c, ("min({0})::VARCHAR", "max({0})::VARCHAR")))
+        ]
+    )
+
+
+@query(stats_sql())
 def column_stats(spark, sf_dir):
+    """The catalog's statistics, with its estimates of different values held against exact numbers."""
     name, path = fresh_name("orders"), fresh_path(spark, "orders-analyzed")
-    table(spark, sf_dir, "orders").write.option("path", path).saveAsTable(name)
-    return layout.column_statistics(spark, name).select("col_name", "min", "max", "num_nulls")
+    orders = table(spark, sf_dir, "orders")
+    orders.write.option("path", path).saveAsTable(name)
+    stats = layout.column_statistics(spark, name)
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in orders.columns]).unpivot(
+        [], orders.columns, "col_name", "exact_distinct"
+    )
+    close = F.abs(F.col("distinct_count") - F.col("exact_distinct")) <= F.col("exact_distinct") * DISTINCT_SHARE
+    return stats.join(exact, "col_name").select(
+        "col_name", "min", "max", "num_nulls", "exact_distinct", close.alias("distinct_close")
+    )
 
 
 def profile(df, asked):
@@ -228,3 +242,89 @@ def coalesced_profile(spark, sf_dir):
     asked = base_partitions(spark, sf_dir, "lineitem")
     spread = table(spark, sf_dir, "lineitem").repartition(3 * asked)
     return profile(spread.coalesce(asked), asked)
+
+
+@query("SELECT *, true AS packed FROM orders")
+def compacted_partitions(spark, sf_dir):
+    """Many small files of one partition become few; the others keep theirs."""
+    path = fresh_path(spark, "orders-by-status")
+    orders = table(spark, sf_dir, "orders")
+    most = F.col("o_orderstatus") == "O"
+    layout.write_partitioned(orders.where(~most), path, ["o_orderstatus"])
+    small = orders.where(most).repartition(2 * base_partitions(spark, sf_dir, "orders"))
+    small.write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    compaction.compact_small_files(spark, path, ["o_orderstatus"])
+    stored = spark.read.parquet(path)
+    files = stored.select("o_orderstatus", "_metadata.file_path", "_metadata.file_size").distinct()
+    needed = files.groupBy("o_orderstatus").agg(
+        (F.count("*") <= F.ceil(F.sum("file_size") / layout.FILE_BYTES) + 1).alias("packed")
+    )
+    return stored.join(needed, "o_orderstatus").select(*orders.columns, "packed")
+
+
+@query(f"SELECT * FROM lineitem WHERE l_partkey = {LOOKUP_PART}")
+def filtered_lookup(spark, sf_dir):
+    """A lookup on a column that the table is not ordered by, served by Bloom filters."""
+    path, lineitem = fresh_path(spark, "lineitem-filtered"), table(spark, sf_dir, "lineitem")
+    # Many row groups even of a small table, so that a lookup has groups to skip.
+    group_bytes = min(lookups.GROUP_BYTES, table_bytes(spark, sf_dir, "lineitem") // LOOKUP_GROUPS + 1)
+    rows_per_group = lineitem.count() // LOOKUP_GROUPS + 1
+    lookups.write_with_filters(
+        lineitem, path, ["l_shipdate"], ["l_partkey"], slots(spark), rows_per_group, group_bytes
+    )
+    return spark.read.parquet(path).where(F.col("l_partkey") == LOOKUP_PART)
+
+
+FACTS_SQL = """
+    SELECT '{0}' AS "column", COUNT(*) AS rows, COUNT(*) FILTER ({0} IS NULL) AS nulls,
+           {1} AS least, {2} AS greatest, COUNT(DISTINCT {0}) AS exact_distinct, true AS distinct_close,
+           {3} AS quartiles_close
+    FROM orders
+"""
+
+
+def facts_sql():
+    micros = "CAST(epoch_us({0}(o_orderdate)) AS VARCHAR)"
+    bounds = {
+        "o_orderdate": (micros.format("min"), micros.format("max"), "true"),
+        "o_orderpriority": ("min(o_orderpriority)", "max(o_orderpriority)", "CAST(NULL AS BOOLEAN)"),
+    }
+    named = lambda c: bounds.get(c, (f"CAST(min({c}) AS VARCHAR)", f"CAST(max({c}) AS VARCHAR)", "true"))
+    return " UNION ALL ".join(FACTS_SQL.format(c, *named(c)) for c in FACT_COLUMNS)
+
+
+FACT_COLUMNS = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@query(facts_sql())
+def merged_statistics(spark, sf_dir):
+    """Facts of each partition, sketched on their own, merged for the table, and held against exact ones."""
+    orders, path = table(spark, sf_dir, "orders"), fresh_path(spark, "orders-facts")
+    for status in ("O", "F", "P"):  # each partition as it arrives
+        part = orders.where(F.col("o_orderstatus") == status)
+        sketches.keep_facts(sketches.partition_facts(part, ["o_orderstatus"], FACT_COLUMNS), path)
+    merged = sketches.merged_facts(spark.read.parquet(path)).collect()  # a row a column
+
+    def against(row):
+        measure = sketches.as_measure(orders, row["column"])
+        exact = F.count_distinct(F.col(row["column"]))
+        close = F.lit(None).cast("boolean")
+        if measure:
+            # The share of rows below, and up to, a quantile must enclose its rank.
+            close = F.lit(True)
+            for rank, value in zip(sketches.QUANTILES, row["quantiles"]):
+                below, upto = (
+                    F.avg(F.when(test, 1.0).otherwise(0.0)) for test in (measure[1] < value, measure[1] <= value)
+                )
+                close &= (below <= rank + sketches.RANK_ERROR) & (upto >= rank - sketches.RANK_ERROR)
+        return F.struct(
+            F.lit(row["column"]).alias("column"), F.lit(row["rows"]).cast("bigint").alias("rows"),
+            F.lit(row["nulls"]).cast("bigint").alias("nulls"),
+            F.lit(row["least"]).alias("least"), F.lit(row["greatest"]).alias("greatest"),
+            exact.alias("exact_distinct"),
+            (F.abs(exact - row["distinct"]) <= exact * sketches.DISTINCT_ERROR).alias("distinct_close"),
+            close.alias("quartiles_close"),
+        )
+
+    checked = [orders.agg(against(row).alias("x")).select("x.*") for row in merged]
+    return reduce(lambda a, b: a.unionByName(b), checked)

@@ -12,7 +12,7 @@ from millrace.plans.catalogue import query, table
 from millrace.plans.renderings import envelopes, page_view_rows
 from millrace.sources import files, messages, rows
 from millrace.streaming.sinks import run_to_table
-from millrace.workspace import fresh_name, fresh_path
+from millrace.workspace import fresh_name, fresh_path, materialize
 
 ORDERS = """
     o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
@@ -46,16 +46,21 @@ def csv_all_strings(spark, sf_dir):
 
 @query("""
     SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
-           o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+           o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+           CASE WHEN (SELECT max(o_orderkey) FROM orders) < 2147483648 THEN 'int' ELSE 'bigint' END
+               || ',' || CASE WHEN (SELECT max(o_custkey) FROM orders) < 2147483648 THEN 'int' ELSE 'bigint' END
+               || ',string,double,timestamp,string' AS inferred
     FROM orders
 """)
 def csv_inferred(spark, sf_dir):
     df = files.read_csv_inferred(spark, orders_as_csv(spark, sf_dir))
+    inferred = ",".join(kind for _, kind in df.dtypes)
     # Inference gives the narrowest type that fits; widen to what the table has.
     return df.withColumns({
         "o_orderkey": F.col("o_orderkey").cast("bigint"),
         "o_custkey": F.col("o_custkey").cast("bigint"),
         "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz"),
+        "inferred": F.lit(inferred),
     })
 
 
@@ -70,6 +75,19 @@ def json_lines(spark, sf_dir):
     return files.read_json_lines(spark, orders_as_json(spark, sf_dir), ORDERS)
 
 
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate, o_orderpriority,
+           'bigint,string,bigint,string,string,double' AS inferred
+    FROM orders
+""")
+def json_lines_inferred(spark, sf_dir):
+    """Fields and their types come from the texts; names are sorted."""
+    df = files.read_json_lines(spark, orders_as_json(spark, sf_dir))
+    inferred = ",".join(dict(df.dtypes)[name] for name in sorted(df.columns))
+    return df.withColumn("inferred", F.lit(inferred))
+
+
 @query("SELECT * FROM orders")
 def json_multiline(spark, sf_dir):
     # One document of a stated number of orders per file, so that files stay moderate.
@@ -202,4 +220,6 @@ def page_views(spark, sf_dir):
     )
     views = cached(parsed)
     texts.unpersist()
-    return views
+    stored = materialize(views, "page-views")
+    views.unpersist()
+    return stored

@@ -21,8 +21,8 @@ from millrace.sources.messages import (
     replay_messages,
     with_text_value,
 )
-from millrace.streaming import jobs, sinks, windows
-from millrace.workspace import fresh_name, fresh_path
+from millrace.streaming import jobs, progress, sinks, topk, windows
+from millrace.workspace import fresh_name, fresh_path, materialize
 
 
 def without_zone(df, *names):
@@ -301,3 +301,92 @@ def drifting_ingest(spark, sf_dir):
         drift.start_ingest(spark, path, target, checkpoint, store).awaitTermination()
     rows = drift.read_ingested(spark, target, store)
     return rows.drop("source_file", "processing_time").withColumnRenamed(drift.VERSION, "written_under")
+
+
+TOP_TAGS, TAG_WINDOW = 10, "5 minutes"
+
+
+@query(f"""
+    WITH placed AS (
+        SELECT epoch_ms(doc_id * 1000 + 1) AS t, time_bucket(INTERVAL 5 MINUTE, epoch_ms(doc_id * 1000 + 1)) AS start,
+               lower(unnest(string_split(text, ' '))) AS tag
+        FROM documents),
+    counted AS (SELECT start, tag, COUNT(*) AS count FROM placed GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY count DESC, tag) AS rank FROM counted)
+    SELECT start, start + INTERVAL 5 MINUTE AS "end", CAST(rank AS INTEGER) AS rank, tag, count FROM ranked
+    WHERE rank <= {TOP_TAGS}
+      AND start + INTERVAL 5 MINUTE <= (SELECT max(t) - INTERVAL 1 MINUTE FROM placed)
+""")
+def stream_topk_windows(spark, sf_dir):
+    """Most frequent hashtags of closed windows: one sketch a window as state, then an exact count."""
+    path = stored_lines(tweet_messages(table(spark, sf_dir, "documents")), "tweets")
+    tweets = jobs.tweets(line_stream(spark, path), ["hashTags", "createdAt"])
+    tags = tweets.select("time", F.explode("hashTags").alias("hashTag")).select("time", F.lower("hashTag").alias("tag"))
+    folder = fresh_path(spark, "top-tags")
+    for running in topk.start_topk(tags, "time", "tag", TAG_WINDOW, "1 minute", folder):
+        running.awaitTermination()
+    return without_zone(topk.read_topk(spark, folder, "time", "tag", TAG_WINDOW, TOP_TAGS), "start", "end")
+
+
+DELIVERIES = 4
+DELIVERED_SQL = f"SELECT *, CAST(event_id % {DELIVERIES} AS INTEGER) AS delivery FROM events"
+
+
+@query(f"""
+    WITH delivered AS ({DELIVERED_SQL}),
+    reached AS (SELECT delivery, date_trunc('milliseconds', max(ts)) AS t FROM delivered GROUP BY delivery),
+    marks AS (
+        SELECT a.delivery, max(b.t) - INTERVAL 1 DAY AS mark
+        FROM reached a LEFT JOIN reached b ON b.delivery < a.delivery GROUP BY a.delivery)
+    SELECT delivery, COUNT(*) AS input_rows, COUNT(*) FILTER (ts <= mark) AS late_rows
+    FROM delivered JOIN marks USING (delivery) GROUP BY delivery
+""")
+def stream_progress(spark, sf_dir):
+    """Deliveries that overlap in time: rows that come behind the watermark are dropped, and the kept
+    progress says how many."""
+    root = fresh_path(spark, "deliveries")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for delivery in range(DELIVERIES):
+        events.where(F.col("event_id") % DELIVERIES == delivery).write.mode("append").parquet(f"{root}/in")
+        stream = file_stream(spark, f"{root}/in", events.schema).withWatermark("ts", "1 day")
+        distinct = stream.dropDuplicates(["event_id", "ts"])
+        running = sinks.start_files(distinct, f"{root}/out", f"{root}/checkpoint")
+        progress.watch(spark, running, f"{root}/progress")
+    kept = progress.kept_progress(spark, f"{root}/progress").where("input_rows > 0")
+    earlier = kept.alias("a").join(kept.select(F.col("batch").alias("other")), F.col("other") < F.col("batch"), "left")
+    return earlier.groupBy("batch", "input_rows", "late_rows").agg(F.count("other").cast("int").alias("delivery")).select(
+        "delivery", "input_rows", "late_rows"
+    )
+
+
+STATE_SQL = """
+    SELECT '{point}' AS point, start, start + INTERVAL 28 DAY AS "end", event_type, COUNT(*) AS count
+    FROM (SELECT time_bucket(INTERVAL 28 DAY, date_trunc('milliseconds', ts), TIMESTAMP '1970-01-01') AS start,
+                 event_type FROM events WHERE {part})
+    WHERE start + INTERVAL 28 DAY {state} (
+        SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events WHERE {part})
+    GROUP BY start, event_type
+"""
+HALF = "event_id < (SELECT COUNT(*) / 2 FROM events)"
+
+
+@query(" UNION ALL ".join([
+    STATE_SQL.format(point="open half way", part=HALF, state=">"),
+    STATE_SQL.format(point="open at the end", part="true", state=">"),
+    STATE_SQL.format(point="given", part="true", state="<="),
+]))
+def stream_state(spark, sf_dir):
+    """A query that stops half way, its open windows read out of the checkpoint, and its restart."""
+    root = fresh_path(spark, "stopped")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first = F.col("event_id") < events.count() / 2
+    found = []
+    for point, part in (("open half way", first), ("open at the end", ~first)):
+        events.where(part).write.mode("append").parquet(f"{root}/in")
+        stream = file_stream(spark, f"{root}/in", events.schema).withWatermark("ts", "1 day")
+        counted = windows.window_count(stream, "ts", "28 days", keys=["event_type"])
+        sinks.start_files(counted, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        state = progress.open_windows(spark, f"{root}/checkpoint").select("start", "end", "event_type", "count")
+        found.append(materialize(state.withColumn("point", F.lit(point)), "open-windows"))
+    given = spark.read.parquet(f"{root}/out").withColumn("point", F.lit("given"))
+    return without_zone(found[0].unionByName(found[1]).unionByName(given.select(found[0].columns)), "start", "end")

@@ -18,6 +18,7 @@ from millrace.plans.catalogue import query, table
 from millrace.plans.renderings import log_lines
 
 SORT_LIMIT = 20_000
+INDEX_RANGES = 5
 # Few enough for groups to fill several arrays in small tables too.
 CHUNK_ORDERS, CHUNK_CUSTOMERS, CHUNK_DAYS = 8, 1_000, 100
 
@@ -112,6 +113,19 @@ def positional_join(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT *, true AS as_many_ranges
+    FROM (SELECT row_number() OVER (ORDER BY ts DESC, event_id) AS row_idx, event_id FROM events)
+""")
+def row_index_ranges(spark, sf_dir):
+    """Numbers from a sort of a stated width, which is also the number of ranges that hold rows."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    placed, offsets = positions.place_rows(events, [F.desc("ts"), "event_id"], INDEX_RANGES)
+    ranges = offsets.agg((F.count("*") == INDEX_RANGES).alias("as_many_ranges"))
+    numbered = positions.numbered(placed, offsets, "row_idx", 1, ["event_id"])
+    return numbered.withColumn("as_many_ranges", F.lit(ranges.first()[0]))
+
+
 @query("""
     SELECT row_number() OVER (ORDER BY ts, event_id) AS row_idx, event_id FROM events
 """)
@@ -122,12 +136,9 @@ def row_index(spark, sf_dir):
 
 @query("SELECT COUNT(*) AS n_rows, COUNT(*) AS n_ids FROM lineitem")
 def unique_ids(spark, sf_dir):
-    """As many rows as numbers between the first and the last id of each partition."""
+    """As many different ids as rows."""
     ids = table(spark, sf_dir, "lineitem").select(F.monotonically_increasing_id().alias("id"))
-    spans = ids.groupBy(F.shiftright("id", positions.POSITION_BITS).alias("partition")).agg(
-        F.count("*").alias("rows"), (F.max("id") - F.min("id") + 1).alias("span")
-    )
-    return spans.agg(F.sum("rows").alias("n_rows"), F.sum("span").alias("n_ids"))
+    return ids.agg(F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids"))
 
 
 @query("SELECT COUNT(*) AS count FROM lineitem")

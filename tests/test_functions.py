@@ -278,3 +278,12 @@ def test_regular_expressions(spark):
 def test_local_rows(spark):
     df = local_rows(spark, [(1, "a"), (2, None)], "id int, t string")
     assert sorted(map(tuple, df.collect())) == [(1, "a"), (2, None)]
+
+
+def test_schema_of_messages_leaves_names_alone(spark):
+    rows = [('{"OBJECT<x": 1, "a b": {"OBJECT<": "t"}, "c`d": [{"e": 1.5}], "f": {}}',), ("bad",), (None,)]
+    found = jsontext.schema_of_messages(spark.createDataFrame(rows, "value string"), "value")
+    assert sorted(found.names) == ["OBJECT<x", "a b", "c`d", "f"]
+    assert found["a b"].dataType.names == ["OBJECT<"]
+    parsed = spark.createDataFrame(rows[:1], "value string").select(F.from_json("value", found).alias("j")).first()["j"]
+    assert parsed["OBJECT<x"] == 1 and parsed["a b"]["OBJECT<"] == "t"

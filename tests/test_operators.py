@@ -178,3 +178,32 @@ def test_top_counts_break_ties_by_key(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "k string")
     got = summaries.top_counts(df, ["k"], 2).collect()
     assert [tuple(r) for r in got] == [("c", 2), ("a", 1)]
+
+
+def test_a_long_limit_cuts_each_task_before_the_shuffle(spark):
+    df = spark.range(0, 40_000, 1, 6).select((F.col("id") * 7 % 40_000).alias("x"))
+    n = 1_500
+    with settings(spark, {positions.GROUP_LIMIT: str(n + 1)}):
+        cut = positions.first_of_each_task(df, [F.asc("x")], n)
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert plan.rindex("WindowGroupLimit") > plan.index("Exchange hashpartitioning(_task")
+        assert cut.count() == 6 * n
+    got = positions.sort_limit(df, ["x"], n)
+    assert [r["x"] for r in got.collect()] == list(range(n))
+
+
+def test_one_carry_row_for_each_range(spark):
+    """However many groups there are, and also where one group fills most ranges."""
+    rows = [(1, i) for i in range(3_000)] + [(None, i) for i in range(500)] + [(2 + i % 700, 5_000 + i) for i in range(1_400)]
+    counted = spark.createDataFrame(rows, "k long, v long").withColumn("_n", F.lit(1).cast("bigint"))
+    placed = positions.in_ranges(counted, ["k", "v"], 9).withColumn("_part", F.spark_partition_id())
+    assert groups.carries(placed, ["k"]).count() <= 9
+    found = groups.with_start(counted, ["k"], "v", 9).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r))
+    start = {}
+    for k, v in order:
+        start[k, v] = start.get(k, 0)
+        start[k] = start.get(k, 0) + 1
+    assert {(r["k"], r["v"]): r["_start"] for r in found} == {row: start[row] for row in rows}
+    whole = groups.with_start(counted.select("v", "_n").groupBy("v").agg(F.sum("_n").alias("_n")), [], "v", 4)
+    assert whole.agg(F.max("_start")).first()[0] == len(rows) - 1

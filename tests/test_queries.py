@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import inspect
+import os
+import subprocess
+import sys
 
 import pytest
 from compare import mismatch
 
 from __spark_entry__ import entry
 from __spark_entry__ import queries as registered
+from millrace.workspace import settings
 from millrace.plans import ORACLES, QUERIES, array_queries, nested_queries, stream_queries, table_queries
 
 ALL = sorted(QUERIES)
@@ -45,7 +49,7 @@ def test_entry(spark):
 
 def reading_tables():
     """Queries that only read tables, by the module whose reader can be replaced."""
-    skipped = {"generated_arrays", "file_ingest", "unique_ids"}
+    skipped = {"generated_arrays", "file_ingest", "unique_ids", "drifting_ingest"}
     for module in (array_queries, nested_queries, table_queries, stream_queries):
         for name, function in inspect.getmembers(module, inspect.isfunction):
             if name in queries() and name not in skipped and not name.startswith("stream_"):
@@ -85,3 +89,22 @@ def test_plans_are_pruned_and_pushed(spark, small):
 )
 def test_array_queries_move_no_rows(spark, small, name):
     assert "Exchange" not in plan_text(queries()[name](spark, small))
+
+
+@pytest.mark.parametrize("absent", ["xxhash", "tiktoken", "public_tokenizers"])
+def test_other_queries_stay_without_a_library_of_the_corpus_part(absent):
+    """Where the corpus part is installed but cannot be imported, the catalogue is complete without it."""
+    script = (
+        f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e;"
+        "from millrace.plans import QUERIES; assert set(QUERIES) <= set(e.queries());"
+        "assert set(e.oracle_sql()) <= set(e.queries())"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", script], cwd=root, check=True, timeout=120)
+
+
+def test_queries_leave_the_session_as_it_was(spark, small):
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        df = queries()["casts_math"](spark, small)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        assert df.count() > 0

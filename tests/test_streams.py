@@ -15,7 +15,7 @@ from millrace.functions.jsontext import as_message
 from millrace.plans.renderings import edit_messages, envelopes, log_lines, tweet_messages
 from millrace.sources import messages
 from millrace.sources.ingest import json_file_stream, remembered_schema
-from millrace.streaming import jobs, sinks, windows
+from millrace.streaming import jobs, progress, sinks, topk, windows
 from millrace.workspace import fresh_name, settings
 
 
@@ -294,3 +294,93 @@ def test_tweets_and_edits(spark):
         (dt.time(0, 0, 0, 500000), "POL", 1), (dt.time(0, 0, 1), "POL", 1)
     ]
     assert as_message(spark.range(1)).first()["value"] == '{"id":0}'
+
+
+def tag_rows(spark, folder, batches):
+    """One file per batch of (seconds, tag) rows, as a stream."""
+    schema = "at timestamp, tag string"
+    for number, batch in enumerate(batches):
+        df = spark.createDataFrame([(dt.datetime.fromtimestamp(s, dt.timezone.utc), tag) for s, tag in batch], schema)
+        df.coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.02)
+    return messages.file_stream(spark, folder, schema, max_files_per_trigger=1)
+
+
+def slow_topk(batches, width, closed, k):
+    counts = {}
+    for at, tag in (row for batch in batches for row in batch):
+        start = at // width * width
+        if tag is not None and start + width <= closed:
+            counts[start, tag] = counts.get((start, tag), 0) + 1
+    found = []
+    for start in sorted({start for start, _ in counts}):
+        ordered = sorted((-n, tag) for (s, tag), n in counts.items() if s == start)[:k]
+        found += [(start, rank, tag, -n) for rank, (n, tag) in enumerate(ordered, 1)]
+    return found
+
+
+@pytest.mark.parametrize("max_items", [8, 1_000])
+def test_topk_of_windows_is_exact(spark, tmp_path, max_items):
+    """With few counters frequent tags decide some windows and others are counted in full."""
+    batches = [
+        [(60 * b + s % 60, f"often{s % 3}") for s in range(400)]
+        + [(60 * b + s % 60, f"new{b}-{s}") for s in range(150)] + [(60 * b, None)]
+        for b in range(3)
+    ] + [[(200 + s, f"single{s}") for s in range(30)], [(1_000, "end")]]
+    stream = tag_rows(spark, str(tmp_path / "in"), batches)
+    for query in topk.start_topk(stream, "at", "tag", "1 minute", "10 seconds", str(tmp_path), max_items):
+        query.awaitTermination()
+    got = topk.read_topk(spark, str(tmp_path), "at", "tag", "1 minute", 4, max_items)
+    found = [(int(r["start"].timestamp()), r["rank"], r["tag"], r["count"]) for r in got.orderBy("start", "rank").collect()]
+    assert found == slow_topk(batches, 60, 990, 4)
+
+
+def test_state_of_topk_is_bounded(spark, tmp_path):
+    """Ever new tags: the plain count keeps a row for each, the sketch one for each open window."""
+    batches = [[(60 * b + s % 60, f"tag{b}-{s}") for s in range(300)] for b in range(5)]
+    stream = tag_rows(spark, str(tmp_path / "in"), batches)
+    _, query = topk.start_topk(stream, "at", "tag", "1 minute", "10 seconds", str(tmp_path), 100)
+    query.awaitTermination()
+    kept = [row[8] for row in progress.progress_rows(query)]
+    assert max(kept) <= 3
+    counts = sinks.start_memory(
+        stream.groupBy("tag").count(), fresh_name("tags"), str(tmp_path / "plain"), mode="complete"
+    )
+    counts.awaitTermination()
+    assert max(row[8] for row in progress.progress_rows(counts)) == 1_500
+
+
+def test_progress_is_kept_once(spark, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "progress")
+    assert progress.kept_progress(spark, path).count() == 0
+    put_files(folder, WATERMARK_CASE)
+
+    def run(name):
+        stream = messages.line_stream(spark, folder, max_files_per_trigger=1)
+        query = sinks.start_files(
+            jobs.errors_per_second(stream), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+        )
+        progress.watch(spark, query, path, 0.2)
+        assert progress.keep_progress(spark, query, path) == 0
+
+    run("first")
+    kept = progress.kept_progress(spark, path)
+    fed = kept.where("input_rows > 0")
+    assert fed.count() == 5 and fed.agg(F.sum("input_rows"), F.sum("late_rows")).first() == (5, 1)
+    assert kept.select("batch").distinct().count() == kept.count()
+    put_files(folder, [line("00:40:00.000"), line("00:00:01.000")], start=5)
+    run("second")
+    kept = progress.kept_progress(spark, path)
+    assert kept.select("query_id").distinct().count() == 1 and kept.select("run_id").distinct().count() == 2
+    assert kept.agg(F.sum("input_rows"), F.sum("late_rows")).first() == (7, 2)
+
+
+def test_open_windows_of_a_stopped_query(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put_files(folder, WATERMARK_CASE)
+    checkpoint = str(tmp_path / "checkpoint")
+    stream = messages.line_stream(spark, folder)
+    sinks.start_files(jobs.errors_per_second(stream), str(tmp_path / "out"), checkpoint).awaitTermination()
+    found = progress.open_windows(spark, checkpoint)
+    assert found.columns == ["start", "end", "count"]
+    assert [clock(r) for r in found.collect()] == [("00:30:00", 1)]
