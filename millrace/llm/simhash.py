@@ -17,7 +17,7 @@ of each other, so a star round the smallest keeps every component. A point has a
 members, whatever the data.
 
 Texts that are null, empty or blank have fingerprint zero and link like any other. Rows with
-equal ids keep one row each. A component of rows that all lack an id has a null id.
+equal ids are rows of their own in the result. A component of rows that all lack an id has a null id.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import map_batches
 from millrace.llm.components import components
+from millrace.operators.joins import join_with_heavy_keys
 from millrace.workspace import materialize
 
 SHINGLE_WORDS = 3
@@ -66,16 +67,17 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(key, fingerprint)`` for each row."""
+    """``(key, text_hash, fingerprint)`` for each row."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([fingerprint(x.as_py()) for x in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), made], [key, "fingerprint"])
+            made = pa.array([fingerprint(x.as_py()) for x in batch.column(2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], made], [key, "text_hash", "fingerprint"])
 
-    picked = docs.select(key, F.col(text).cast("string").alias("__text"))
-    return map_batches(picked, run, f"`{key}` {kind}, fingerprint bigint")
+    whole = F.col(text).cast("string")
+    picked = docs.select(key, F.xxhash64(whole).alias("text_hash"), whole.alias("__text"))
+    return map_batches(picked, run, f"`{key}` {kind}, text_hash bigint, fingerprint bigint")
 
 
 def pivots() -> list[int]:
@@ -143,36 +145,43 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(stars)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(key, fingerprint, component_id)`` for each row: the smallest key reachable by links."""
+def classes(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """``(key, text_hash, fingerprint, root, component_id)`` for each row: ``root`` is a fingerprint
+    that names the component, ``component_id`` its smallest key."""
     marked = materialize(fingerprints(docs, text, key), "fingerprints")
-    smallest = materialize(
-        marked.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct"
-    )
+    smallest = materialize(marked.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct")
     roots = components(links(smallest))
     linked = smallest.join(roots, F.col("fingerprint") == F.col("node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select(F.col("node").alias("fingerprint"), "component_id")
+    named = roots.join(least, "root").select(F.col("node").alias("fingerprint"), "root", "component_id")
     named = smallest.join(named, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_id", "least").alias("component_id")
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root"),
+        F.coalesce("component_id", "least").alias("component_id"),
     )
-    return marked.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    # Exact copies and empty texts may share a fingerprint by the million.
+    joined = join_with_heavy_keys(marked, named, ["fingerprint"], spread=[key, "text_hash"])
+    return joined.select(key, "text_hash", "fingerprint", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``(key, fingerprint, component_id)`` for each row: the smallest key reachable by links."""
+    return classes(docs, text, key).select(key, "fingerprint", "component_id")
 
 
 def without_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of its component, all columns kept.
+    """One row of each component, all columns kept: that of the smallest key, and where several
+    texts of the component have that key, of the smallest fingerprint and text hash.
 
-    Rows without a key stay all; of rows with the same key, one stays.
+    Rows without a key stay all. Rows that share a key but not a component are told apart by their
+    text, so none goes for the other's sake.
     """
-    found = near_duplicates(docs.where(F.col(key).isNotNull()), text, key)
-    # A repeated key may stand in several components; it goes if any row of it is a copy.
-    least = (
-        found.groupBy(F.col(key).alias("__kept"))
-        .agg(F.max(F.col("component_id") < F.col(key)).alias("__copy"))
-        .where("not __copy").select("__kept")
-    )
-    kept = docs.join(least, F.col(key) == F.col("__kept"), "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.where(F.col(key).isNull()))
+    found = classes(docs.where(F.col(key).isNotNull()), text, key).where(F.col(key) == F.col("component_id"))
+    first = found.groupBy("root").agg(F.min(F.struct(key, "fingerprint", "text_hash")).alias("first"))
+    chosen = first.select(F.col(f"first.{key}").alias("__kept"), F.col("first.text_hash").alias("__hash"))
+    marked = docs.withColumn("__text_hash", F.xxhash64(F.col(text).cast("string")))
+    match = (F.col(key) == F.col("__kept")) & (F.col("__text_hash") == F.col("__hash"))
+    kept = marked.join(chosen, match, "left_semi").dropDuplicates([key, "__text_hash"])
+    return kept.drop("__text_hash").unionByName(docs.where(F.col(key).isNull()))
 
 
 def as_hex(fp: Column) -> Column:

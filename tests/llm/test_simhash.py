@@ -108,3 +108,12 @@ def test_components_of_a_chain_and_a_star(spark):
     assert sorted(map(min, by_root.values())) == [0, 1000]
     assert sorted(map(len, by_root.values())) == [200, 201]
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_keys_with_different_texts(spark):
+    """One row of each component stays, whatever else has its key."""
+    same, other, third = "one two three four five", "six seven eight nine ten", "some text of its own here"
+    rows = [(1, same), (2, same), (2, other), (3, other), (3, third), (3, third), (4, third), (2, other), (1, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, simhash.without_copies(docs).collect()), key=repr)
+    assert kept == sorted([(1, same), (2, other), (3, third), (1, None)], key=repr)
