@@ -10,7 +10,8 @@ the stretches found.
 All steps are DataFrame functions. Documents are scanned twice, once to count the shingles
 that the benchmark has, once to find places; only matches and one small row per document are
 shuffled. The benchmark's shingles and the prefixes are broadcast while their measured
-size allows it; beyond, document places carry the words around them into a shuffled join.
+size allows it; beyond, document places carry the words around them into a shuffled join, where
+shingles and windows that many places share are dealt over several tasks.
 
 Null and empty texts have no words and are never contaminated. Null items have no windows.
 Item ids that are null are not listed or counted, but their windows hit. Repeated document
@@ -22,9 +23,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.llm.common import joined_ids, once, plain_words
+from millrace.operators.joins import join_with_heavy_keys, repeated, salted, width_of
 from millrace.workspace import materialize
 
 WINDOW_WORDS = 13
@@ -33,8 +34,8 @@ SHINGLE_WORDS = 3
 ONE_IN = 20
 #: Bytes up to which the benchmark's shingles, and the prefixes with their words, are broadcast.
 BROADCAST_BYTES = 32 << 20
-#: Bytes of one hash in a hash table, about.
-SHINGLE_BYTES = 32
+#: Bytes of one hash, and of one window with its item, in a hash table, about.
+SHINGLE_BYTES, MEMBER_BYTES = 32, 200
 
 
 def shingle(words: Column, at: Column, length: Column) -> Column:
@@ -78,7 +79,8 @@ def document_words(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, distinct: DataFrame, lengths: list[int], broadcast_bytes: int) -> DataFrame:
-    """``(hash, offset, window, words, n)``: of each window whose shingles all occur, the rarest."""
+    """``(hash, places, offset, window, words, n)``: of each window whose shingles all occur, the
+    rarest, and in how many places of documents it stands."""
     hashed = shingle(F.col("words"), F.col("at"), F.col("length")).alias("hash")
     listed = each_place(distinct.withColumn("length", F.least(F.col("n"), F.lit(SHINGLE_WORDS))), 0).select(
         "window", F.col("at").alias("offset"), hashed
@@ -94,9 +96,19 @@ def prefixes(docs: DataFrame, distinct: DataFrame, lengths: list[int], broadcast
             F.min(F.struct(F.coalesce("places", F.lit(0)).alias("places"), "hash", "offset")).alias("rarest")
         )
         .where("rarest.places > 0")
-        .select("window", "rarest.hash", "rarest.offset")
+        .select("window", "rarest.*")
     )
-    return rarest.join(distinct, "window").select("hash", "offset", "window", "words", "n")
+    return rarest.join(distinct, "window").select("hash", "places", "offset", "window", "words", "n")
+
+
+def heavy_shingles(found: DataFrame) -> DataFrame:
+    """Prefixes that stand in more places than an even share of all that count, with their salts;
+    fewer than there are partitions."""
+    width = width_of(found.sparkSession)
+    counts = found.select("hash", "places").distinct()
+    share = (counts.agg(F.sum("places")).first()[0] or 0) / width
+    listed = [(row["hash"], -int(-row["places"] // share)) for row in counts.where(F.col("places") > share).collect()]
+    return found.sparkSession.createDataFrame(listed, "hash bigint, _salts int")
 
 
 def hit_words(spans: Column) -> Column:
@@ -131,39 +143,52 @@ def contamination(
     if lengths:
         found = materialize(prefixes(split, distinct, lengths, broadcast_bytes), "prefixes")
     else:
-        kinds = "hash bigint, offset int, window string, words array<string>, n int"
+        kinds = "hash bigint, places bigint, offset int, window string, words array<string>, n int"
         found = docs.sparkSession.createDataFrame([], kinds)
     size = found.agg(F.sum(F.length(F.concat_ws(" ", "words")) + 100)).first()[0] or 0
     small = size <= broadcast_bytes
 
-    # Place -1 of every document meets the row without a window, so that no document is lost.
+    # Place -1 of every document meets nothing, so that no document is lost; its hash is the row's own.
     lengths = lengths or [1]
     places = each_place(split.withColumn("length", F.explode(F.lit(lengths))), -1)
     places = places.where((F.col("at") >= 0) | (F.col("length") == F.lit(lengths[0]))).withColumn(
-        "hash", F.when(F.col("at") < 0, F.lit(0).cast("long")).otherwise(shingle(F.col("words"), F.col("at"), F.col("length")))
+        "hash",
+        F.when(F.col("at") < 0, F.xxhash64("doc", "text_hash")).otherwise(
+            shingle(F.col("words"), F.col("at"), F.col("length"))
+        ),
     )
     if not small:
         first = F.greatest(F.col("at") - (words - 1), F.lit(0))
         places = places.withColumn("words", F.slice("words", first + 1, 2 * words)).withColumn("from", first)
     else:
         places = places.withColumn("from", F.lit(0))
-    empty = found.sparkSession.range(1).select(
-        F.lit(0).cast("long").alias("hash"), F.lit(None).cast("int").alias("offset"),
-        F.lit(None).cast("string").alias("window"), F.lit(None).cast(T.ArrayType(T.StringType())).alias("window_words"),
-        F.lit(None).cast("int").alias("window_n"),
+    table = found.select(
+        F.col("hash").alias("prefix"), "offset", "window", F.col("words").alias("window_words"), F.col("n").alias("window_n")
     )
-    table = found.withColumnsRenamed({"words": "window_words", "n": "window_n"}).unionByName(empty)
+    if small:
+        joined = places.join(F.broadcast(table), F.col("hash") == F.col("prefix"), "left")
+    else:
+        heavy = heavy_shingles(found)
+        dealt = salted(places, heavy, ["hash"], ["doc", "text_hash", "at"])
+        copies = repeated(table.withColumn("hash", F.col("prefix")), heavy, ["hash"])
+        joined = dealt.join(copies, ["hash", "_salt"], "left")
     start = F.col("at") - F.col("offset")
     inside = (start >= 0) & (start + F.col("window_n") <= F.col("n"))
     same = F.slice("words", F.greatest(start - F.col("from"), F.lit(0)) + 1, F.col("window_n")) == F.col("window_words")
-    met = places.join(F.broadcast(table) if small else table, "hash").where(
-        F.when(F.col("at") < 0, F.col("window").isNull()).otherwise(F.col("window").isNotNull() & inside & same)
-    ).select("doc", "text_hash", "n", "window", start.alias("start"), "window_n")
+    own = F.col("at") < 0
+    met = joined.where(own | (F.col("window").isNotNull() & inside & same)).select(
+        "doc", "text_hash", "n", F.when(~own, F.col("window")).alias("window"), start.alias("start"), "window_n"
+    )
+    if members.count() * MEMBER_BYTES <= broadcast_bytes:
+        listed = met.join(F.broadcast(members), "window", "left")
+    else:
+        # Every document has a row without a window, and a common passage many rows with one.
+        listed = join_with_heavy_keys(materialize(met, "met"), members, ["window"], "left", spread=["doc", "text_hash", "start"])
     spans = F.collect_set(
         F.when(F.col("window").isNotNull(), F.struct("start", F.col("window_n").alias("n")))
     )
     judged = (
-        met.join(members, "window", "left").groupBy("doc", "text_hash", "n")
+        listed.groupBy("doc", "text_hash", "n")
         .agg(
             F.count_if(F.col("window").isNull()).alias("copies"),
             spans.alias("spans"), F.collect_set("item").alias("items"),
