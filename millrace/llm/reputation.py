@@ -7,8 +7,10 @@ domain. Each step is a beta-binomial prior whose strength is estimated by moment
 much the groups of that level differ. A host is blocked if the upper bound of its posterior
 share of good pages stays under a threshold, so hosts with few or no outcomes pass.
 
-The registered domain is the last two labels of a host, the suffix the last one; ports and
-user names do not count there. Urls that are null or lack ``://`` have an empty host and
+The registered domain is the last two labels of a host and the suffix the last one; for suffixes
+of two labels that sites are registered under, as co.uk, they are the last three and the last
+two. An address in numbers is a domain of its own, and all of them share a suffix. Ports and
+user names do not count there. Urls are read whole, however long. Urls that are null or lack ``://`` have an empty host and
 path, fit no rule, and are judged like any host by what is known of pages without one. With
 no outcomes at all every host has the prior share and passes. Rows keep their number; only
 key, url and the text asked for are read.
@@ -20,12 +22,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import ascii_lower, once, whole
+from millrace.operators.joins import join_with_heavy_keys
 from millrace.workspace import materialize
 
 #: (host, path, verdict)
 Rule = tuple[str, str, str]
 #: Prior share of good pages without any outcome, and least and largest prior strengths.
 PRIOR_SHARE, LEAST_STRENGTH, MOST_STRENGTH = 0.5, 1.0, 1000.0
+# Suffixes of two labels under which sites are registered.
+SHARED_SUFFIXES = """
+    ac.uk co.uk gov.uk ltd.uk me.uk net.uk org.uk plc.uk sch.uk
+    com.au edu.au gov.au id.au net.au org.au
+    ac.nz co.nz govt.nz net.nz org.nz
+    ac.jp ad.jp co.jp ed.jp go.jp gr.jp lg.jp ne.jp or.jp
+    com.br edu.br gov.br net.br org.br
+    com.ar edu.ar gob.ar com.mx edu.mx gob.mx org.mx com.co edu.co com.pe com.ve com.uy com.ec
+    ac.in co.in edu.in gov.in net.in org.in
+    ac.za co.za gov.za org.za
+    com.cn edu.cn gov.cn net.cn org.cn com.tw edu.tw org.tw com.hk edu.hk org.hk com.sg edu.sg
+    ac.kr co.kr go.kr or.kr
+    com.tr edu.tr gov.tr org.tr com.pl edu.pl gov.pl net.pl org.pl com.ua gov.ua com.ru
+    ac.il co.il org.il com.my com.ph co.th in.th com.vn co.id or.id com.pk com.bd com.np com.lk
+    com.sa com.eg com.ng co.ke or.ke com.gh com.es nom.es org.es com.pt com.gr
+""".split()
+
 #: Deviations of the bound, and the share below which a host is blocked.
 DEVIATIONS, LEAST_SHARE = 1.645, 0.5
 
@@ -38,9 +58,13 @@ def with_address(pages: DataFrame, keep: list[str], url: str = "url") -> DataFra
         host=ascii_lower(F.regexp_extract(text, whole_url, 1)), path=F.regexp_extract(text, whole_url, 2)
     ).alias("p")).select(*keep, "p.host", "p.path")
     name = F.regexp_replace("host", r"^.*@|:[0-9]*$", "")
-    return parts.withColumn("domain", F.regexp_extract(name, r"([^.]+\.)?[^.]*\.?$", 0)).withColumn(
-        "suffix", F.regexp_extract("domain", r"[^.]*\.?$", 0)
-    )
+    three, two, one = (F.regexp_extract(name, rf"([^.]+\.){{0,{n}}}[^.]*\.?$", 0) for n in (2, 1, 0))
+    numeric = name.rlike(r"^[0-9]+(\.[0-9]+){3}$|^\[")
+    shared = F.rtrim(two, F.lit(".")).isin(SHARED_SUFFIXES)
+    return parts.withColumns({
+        "domain": F.when(numeric, name).when(shared, three).otherwise(two),
+        "suffix": F.when(numeric, F.lit("number")).when(shared, two).otherwise(one),
+    })
 
 
 def matching_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:
@@ -60,17 +84,21 @@ def block_hash(blocks: Column) -> Column:
 
 
 def outcomes(texts: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(page, good)`` for pages of ``texts(page, text)`` that show a labelled document.
-
-    The first block of a page is its headline, which documents do not have.
-    """
-    known = docs.select("doc_id", block_hash(F.split(whole(F.col("text")), "\n")).alias("hash")).join(
+    """``(page, good)`` for pages of ``texts(page, text)`` that show a labelled document, either as
+    their whole text or below a headline, their first block. Texts without words show nothing."""
+    worded = docs.where(F.col("text").rlike(r"\S"))
+    known = worded.select("doc_id", block_hash(F.split(F.col("text"), "\n")).alias("hash")).join(
         labels.select("doc_id", F.col("quality").cast("double").alias("quality")).where("quality in (0, 1)"), "doc_id"
     )
     by_text = known.groupBy("hash").agg((F.avg("quality") >= 0.5).cast("int").alias("good"))
-    blocks = F.split(whole(F.col("text")), "\n")
-    shown = texts.select("page", block_hash(F.slice(blocks, F.lit(2), F.size(blocks))).alias("hash"))
-    return shown.join(by_text, "hash").select("page", "good")
+    blocks = F.split(F.col("text"), "\n")
+    below = block_hash(F.slice(blocks, F.lit(2), F.size(blocks)))
+    shown = texts.where(F.col("text").rlike(r"\S")).select(
+        "page", F.posexplode(F.array(block_hash(blocks), below)).alias("below", "hash")
+    )
+    # Pages of one text may be many. Stored, since counting heavy hashes must not read the pages again.
+    met = join_with_heavy_keys(materialize(shown, "shown"), by_text, ["hash"], spread=["page", "below"])
+    return met.groupBy("page").agg(F.min_by("good", "below").alias("good"))
 
 
 def strength(groups: DataFrame) -> Column:
@@ -131,12 +159,11 @@ def judge(
         with_address(pages.select(F.col(key).alias("page"), F.col(url)), ["page"], url), "addresses"
     )
     known = outcomes(texts.select(F.col(key).alias("page"), "text"), docs, labels)
-    # A page that is listed twice counts once.
-    known = known.groupBy("page").agg(F.max("good").alias("good"))
     found = reputations(addresses.select("page", "host", "domain", "suffix"), known)
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") < LEAST_SHARE, F.lit("block")).otherwise(F.lit("allow"))
-    return addresses.join(found, "host").select(
+    # A common host, or none at all, may hold most pages.
+    return join_with_heavy_keys(addresses, found, ["host"], spread=["page", "path"]).select(
         F.col("page").alias(key), "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"),
         F.col("n").cast("long").alias("n_outcomes"), F.col("mean").alias("share"), "bound",
     )

@@ -93,3 +93,23 @@ def test_query(spark, small):
         assert (row["host"], row["path"], row["rule"]) == (host, path, rule)
         assert row["verdict"] in ("allow", "block") and verdict in (None, row["verdict"])
     assert sum(r["n_outcomes"] for r in {r["host"]: r for r in rows}.values()) > 0
+
+
+def test_domains_and_suffixes(spark):
+    hosts = {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.com.au:80": ("x.com.au", "com.au"),
+        "www.example.com": ("example.com", "com"), "com": ("com", "com"), "10.1.2.3:8080": ("10.1.2.3", "number"),
+        "u@10.1.2.3": ("10.1.2.3", "number"), "[::1]:80": ("[::1]", "number"), "a.b.co.uk.": ("b.co.uk.", "co.uk."),
+        "1.2.3.4.net": ("4.net", "net"), "x" * 50_000 + ".org": ("x" * 50_000 + ".org", "org"),
+    }
+    pages = spark.createDataFrame([(i, f"http://{host}/x") for i, host in enumerate(hosts)], "page long, url string")
+    found = {r["page"]: (r["domain"], r["suffix"]) for r in reputation.with_address(pages, ["page"]).collect()}
+    assert [found[i] for i in range(len(hosts))] == list(hosts.values())
+
+
+def test_pages_with_and_without_a_headline_have_outcomes(spark):
+    docs = spark.createDataFrame([(1, "one two\n\nthree"), (2, ""), (3, None), (4, "Head")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 0)], "doc_id long, quality int")
+    texts = [(1, "one two\n\nthree"), (2, "Head\n\none  two\n\nthree"), (3, ""), (4, None), (5, "Head"), (6, "one two")]
+    shown = spark.createDataFrame(texts * 2, "page long, text string")
+    assert sorted(map(tuple, reputation.outcomes(shown, docs, labels).collect())) == [(1, 1), (2, 1), (5, 0)]
