@@ -44,7 +44,8 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return secrets.scan(docs, secrets.fit(docs))
+    scanner, findings = secrets.fit(docs)
+    return secrets.scan(docs, scanner, findings=findings)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
