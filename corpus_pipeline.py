@@ -33,7 +33,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
-    return secrets.redact(docs, secrets.fit(docs))
+    scanner, findings = secrets.fit(docs)
+    return secrets.redact(docs, scanner, findings=findings)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
