@@ -1,11 +1,13 @@
 """License scans: phrases, and an exact set-similarity join with license templates.
 
-A text block (a line) matches a template if it holds at least CONTAINMENT of the template's
-different words. Words are ordered by how many documents have them, rarest first. A block
-that reaches the threshold must hold one of the first ``size - needed + 1`` words of the
-template, so blocks join templates on these prefix words only. Blocks with fewer template
-words than needed are dropped by length; a match at position i of the template and j of the
-block is dropped if too few words are left behind either. What remains is compared exactly.
+A text block is a stretch of consecutive words of about a template's length, across line ends: a
+template of m words is looked for in every stretch of m words and a fifth more. A block matches if it
+holds at least CONTAINMENT of the template's different words. Template words are ordered by how
+many documents have them, rarest first. A block that reaches the threshold must hold one of the
+first ``size - needed + 1`` words of the template, so texts join templates on places of these
+prefix words only. A place is dropped by length if too few template words stand within a block's
+length of it, and by position if too few of those are as common as its word or more: blocks with a
+rarer word are found from that word's place. What remains is compared exactly, block by block.
 
 The templates are the fixed set below, so their table is broadcast. Every block of every
 text is looked at. Phrases are places where their words stand one after the other; phrase
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import BETWEEN_WORDS, ascii_lower, once, whole
 
 CONTAINMENT = 0.9
+#: Words of a block, as a multiple of the template's.
+BLOCK_LENGTH = 1.2
 
 # Phrases of the contract and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -60,15 +64,21 @@ def ordered_vocabulary(docs: DataFrame, text: str, vocabulary: list[str]) -> lis
     return sorted(vocabulary, key=lambda word: (counts.get(word, 0), word))
 
 
+def block_words(text: str) -> int:
+    """Words of the blocks that are held against a template."""
+    return math.ceil(BLOCK_LENGTH * len(re.findall(r"[a-z0-9]+", text.lower())) - 1e-9)
+
+
 def template_rows(order: list[str], templates: list[tuple[str, str]], containment: float) -> list[tuple]:
-    """``(rank, at, template, label, needed, ranks)``: a row for each prefix word of a template."""
+    """``(word, at, label, needed, width, wanted)``: a row for each prefix word of a template, whose
+    different words ``wanted`` are in the common order."""
     rank = {word: i for i, word in enumerate(order)}
     rows = []
-    for number, (label, text) in enumerate(templates):
-        ranks = sorted(rank[word] for word in template_words(text))
-        needed = math.ceil(containment * len(ranks) - 1e-9)
-        for at in range(len(ranks) - needed + 1):
-            rows.append((ranks[at], at, number, label, needed, ranks))
+    for label, text in templates:
+        wanted = sorted(template_words(text), key=rank.__getitem__)
+        needed = math.ceil(containment * len(wanted) - 1e-9)
+        for at in range(len(wanted) - needed + 1):
+            rows.append((wanted[at], at, label, needed, block_words(text), wanted))
     return rows
 
 
@@ -96,11 +106,11 @@ def scan(
     vocabulary = sorted({word for _, notice in templates for word in template_words(notice)})
     order = ordered_vocabulary(docs, text, vocabulary)
     rows = template_rows(order, templates, containment)
-    kinds = "rank int, at int, template int, label string, needed int, ranks array<int>"
-    # Rank -1, one for each document, meets the row without a template: no document is lost.
-    table = spark.createDataFrame([*rows, (-1, 0, -1, None, 0, [])], kinds)
-    least = min((row[4] for row in rows), default=0)
+    table = spark.createDataFrame(rows, "word string, at int, label string, needed int, width int, wanted array<string>")
+    prefix = F.lit(sorted({row[0] for row in rows})).cast("array<string>")
+    reach = max((row[4] for row in rows), default=1)
 
+    none = F.array().cast("array<int>")
     lowered = docs.select(
         F.col(key).alias("doc"),
         once(
@@ -113,34 +123,45 @@ def scan(
     )
     last_words = sorted({phrase.split()[-1] for phrase in PHRASES})
     may = reduce(Column.__or__, [F.contains("lowered", F.lit(word)) for word in last_words])
-    none = F.array().cast("array<int>")
+    # Places of prefix words, each with the words within a block's length of it.
+    held = F.when(F.arrays_overlap("words", prefix), F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(prefix, F.get("words", i))
+    )).otherwise(none)
+    found = F.transform(held, lambda i: F.struct(
+        F.get("words", i).alias("word"), F.least(i, F.lit(reach - 1)).alias("lead"),
+        F.slice("words", F.greatest(i - (reach - 1), F.lit(0)) + 1, 2 * reach - 1).alias("near"),
+    ))
+    # A place without a word, one for each document, meets no template: no document is lost.
+    nowhere = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).alias("lead"), none.cast("array<string>").alias("near")))
     based = words.select(
-        "doc", "text_hash", "lowered", F.size("words").cast("long").alias("n_words"),
-        once(**{label: F.when(may, places(F.col("words"), phrase)).otherwise(none) for phrase, label in PHRASES.items()}).alias("p"),
+        "doc", "text_hash", F.size("words").cast("long").alias("n_words"),
+        once(
+            found=found,
+            **{label: F.when(may, places(F.col("words"), phrase)).otherwise(none) for phrase, label in PHRASES.items()},
+        ).alias("p"),
     ).select(
-        "doc", "text_hash", "lowered", "n_words",
+        "doc", "text_hash", "n_words", F.col("p.found").alias("found"),
         F.concat(*[F.col(f"p.{label}") for label in PHRASES.values()]).alias("base"),
         F.array_compact(F.array(*[F.when(F.size(f"p.{x}") > 0, x) for x in sorted(PHRASES.values())])).alias("base_labels"),
     ).select(
         "doc", "text_hash", "n_words", "base_labels", F.size("base").cast("long").alias("n_base"),
         F.array_min("base").cast("long").alias("first_word"), F.array_max("base").cast("long").alias("last_word"),
-        F.posexplode(F.split("lowered", "\n")).alias("block", "line"),
+        F.explode(F.concat(nowhere, "found")).alias("c"),
     )
-    known = F.lit(order)
-    ranked = F.array_sort(F.transform(
-        F.array_intersect(split(F.col("line")), known), lambda word: F.array_position(known, word).cast("int") - 1
-    ))
     own = ["doc", "text_hash", "n_words", "base_labels", "n_base", "first_word", "last_word"]
-    blocks = based.select(*own, "block", once(ranks=ranked).alias("p")).select(*own, "block", F.col("p.ranks").alias("held"))
-    searched = F.when(F.size("held") >= least, F.col("held")).otherwise(none)
-    searched = F.concat(F.when(F.col("block") == 0, F.array(F.lit(-1))).otherwise(none), searched)
-    tokens = blocks.select(*own, "block", "held", F.posexplode(searched).alias("place", "rank"))
-    tokens = tokens.withColumn("place", F.when(F.col("block") == 0, F.col("place") - 1).otherwise(F.col("place")))
-    left = F.least(F.size("ranks") - F.col("at"), F.size("held") - F.col("place"))
-    overlap = F.size(F.array_intersect("held", "ranks"))
-    met = tokens.join(F.broadcast(table), "rank").where(
-        (F.col("rank") < 0) | ((F.size("held") >= F.col("needed")) & (left >= F.col("needed")) & (overlap >= F.col("needed")))
-    ).select(*own, "label", (overlap / F.greatest(F.size("ranks"), F.lit(1))).alias("share"))
+    joined = based.select(*own, "c.*").join(F.broadcast(table), "word", "left")
+    first = F.greatest(F.col("lead") - F.col("width") + 1, F.lit(0))
+    close = F.slice("near", first + 1, F.col("lead") - first + F.col("width"))
+    common = F.array_intersect("wanted", close)
+    as_common = F.size(F.array_intersect(F.slice("wanted", F.col("at") + 1, F.size("wanted")), close))
+    blocks = F.transform(
+        F.sequence(first, F.col("lead")), lambda i: F.size(F.array_intersect("wanted", F.slice("near", i + 1, F.col("width"))))
+    )
+    likely = (F.size(common) >= F.col("needed")) & (as_common >= F.col("needed"))
+    overlap = F.when(likely, F.array_max(blocks))
+    met = joined.withColumn("overlap", overlap).where(F.col("word").isNull() | (F.col("overlap") >= F.col("needed"))).select(
+        *own, "label", F.coalesce(F.col("overlap") / F.size("wanted"), F.lit(0.0)).alias("share")
+    )
     return (
         met.groupBy(*own)
         .agg(

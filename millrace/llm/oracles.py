@@ -7,7 +7,7 @@ import string
 
 from millrace.llm import centroids
 from millrace.llm.decontaminate import ONE_IN, WINDOW_WORDS
-from millrace.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, template_words
+from millrace.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, block_words, template_words
 
 LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -47,10 +47,10 @@ def phrase_places(phrase: str, label: str) -> str:
 
 def template_values() -> str:
     rows = []
-    for label, notice in TEMPLATES:
+    for number, (label, notice) in enumerate(TEMPLATES):
         words = template_words(notice)
-        listed = ", ".join(f"'{word}'" for word in words)
-        rows.append(f"('{label}', [{listed}], {math.ceil(CONTAINMENT * len(words) - 1e-9)})")
+        needed = math.ceil(CONTAINMENT * len(words) - 1e-9)
+        rows += [f"({number}, '{label}', '{word}', {len(words)}, {needed}, {block_words(notice)})" for word in words]
     return ", ".join(rows)
 
 
@@ -62,17 +62,16 @@ base AS (
     SELECT r, count(*) AS n, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS labels
     FROM places GROUP BY r
 ),
+templates(number, label, word, size, needed, width) AS (VALUES {template_values()}),
+hits AS (SELECT r, i, templates.* FROM words JOIN templates ON w[i] = word),
 blocks AS (
-    SELECT r, list_distinct(regexp_extract_all(unnest(string_split(lowered, chr(10))), {WORD})) AS held FROM d
+    SELECT a.r, any_value(a.label) AS label, count(DISTINCT b.word) AS common, any_value(a.size) AS size, any_value(a.needed) AS needed
+    FROM hits a JOIN hits b ON a.r = b.r AND a.number = b.number AND b.i >= a.i AND b.i < a.i + a.width
+    GROUP BY a.r, a.number, a.i
 ),
-templates(label, listed, needed) AS (VALUES {template_values()}),
 met AS (
-    SELECT r, list(DISTINCT label) AS labels, max(share) AS share
-    FROM (
-        SELECT r, label, needed, listed, len(list_intersect(held, listed)) AS common,
-            len(list_intersect(held, listed)) / CAST(len(listed) AS DOUBLE) AS share
-        FROM blocks, templates
-    ) WHERE common >= needed GROUP BY r
+    SELECT r, list(DISTINCT label) AS labels, max(common / CAST(size AS DOUBLE)) AS share
+    FROM blocks WHERE common >= needed GROUP BY r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
     array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
