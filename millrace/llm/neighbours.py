@@ -2,16 +2,19 @@
 
 Vectors are listed under their nearest centroid. A query probes lists, nearest centroid
 first, until they hold a stated share of all rows. Within a list, vectors and queries are
-rotated by a random orthogonal matrix, so that every column block holds its share of their
-lengths: after each block, the partial inner product plus the product of the lengths of the
-unseen rests, the most that they can bring, is tested against the k-th best product so far,
-and candidates that fail are abandoned. No candidate that reaches the bar is lost. Survivors
-are scored exactly on the original vectors in double precision.
+rotated by a random orthogonal matrix, so that any m of d columns are a fair sample of the
+product: d / m times the partial product estimates it, with a standard error that follows from
+the lengths of the two vectors. After each column block a candidate is abandoned if the estimate
+plus DEVIATIONS standard errors stays below the k-th best product so far, which happens to a true
+neighbour once in about 700 tests, or if the lengths of the unseen rests cannot bring it there at
+all. Survivors are scored exactly on the original vectors in double precision.
 
 Centroids and the share come from a sample of at most FIT_ROWS vectors: the smallest share
-that finds TARGET_RECALL of the sample queries' true neighbours. Every row is indexed. Lists
-are cut into chunks of CHUNK_ROWS vectors and BLOCK_QUERIES queries by their measured size,
-so a list that holds a third of all rows is many tasks' work and no group is unbounded.
+that, with the losses of the same tests, finds TARGET_RECALL of the sample queries' true
+neighbours. Every row is indexed. Small lists are packed into chunks of about CHUNK_ROWS vectors
+and large ones cut, queries into blocks of BLOCK_QUERIES, by their measured size; a query goes to
+a chunk once, whatever number of its lists it probes. So a list that holds a third of all rows is
+many tasks' work and no group is unbounded.
 
 Vectors that are null, of zero length, or hold null or non-finite components take no part,
 nor do vectors of another dimension than the most frequent one. Rows that repeat an id count
@@ -35,7 +38,9 @@ from millrace.workspace import materialize
 
 FIT_ROWS = 10_000
 FIT_QUERIES = 200
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.95
+#: Standard errors that a test allows.
+DEVIATIONS = 3.0
 #: Lists are half the square root of the rows, this many at most.
 MOST_LISTS = 4_096
 #: Part of a query's lists, the nearest, that set its bar for the others.
@@ -82,11 +87,25 @@ def fit_centroids(sample: np.ndarray, lists: int) -> np.ndarray:
     return centres
 
 
+def abandoned(partial, done: int, size: int, lengths, rests, bars):
+    """Whether candidates fail after ``done`` of ``size`` columns: by test, or for sure.
+
+    ``partial``: products so far; ``lengths`` and ``rests``: products of the lengths of both vectors,
+    whole and in the columns to come; ``bars``: products to reach. A product that equals the bar has
+    the standard error of the test.
+    """
+    error = np.sqrt((1 / done - 1 / size) * (lengths**2 + np.minimum(bars, lengths) ** 2))
+    unlikely = partial * (size / done) + DEVIATIONS * error < bars
+    return np.where(np.isfinite(bars), unlikely, False) | (partial + rests < bars)
+
+
 def fit_share(sample: np.ndarray, index: Index, k: int) -> float:
-    """Share of rows to probe so that TARGET_RECALL of true neighbours lie in probed lists."""
+    """Share of rows to probe so that TARGET_RECALL of true neighbours lie in probed lists and
+    survive the tests against the k-th best."""
     own = index.nearest(sample)
     sizes = np.bincount(own, minlength=len(index.centroids))
-    shares = []
+    turned = sample @ rotation(sample.shape[1])
+    shares, lost = [], 0
     for at in range(0, len(sample), max(1, len(sample) // FIT_QUERIES)):
         products = sample @ sample[at]
         products[at] = -np.inf
@@ -95,7 +114,23 @@ def fit_share(sample: np.ndarray, index: Index, k: int) -> float:
         reach = np.empty(len(order))
         reach[order] = np.cumsum(sizes[order]) / len(sample)
         shares.extend(reach[own[best]])
-    return float(np.quantile(shares, TARGET_RECALL)) if shares else 1.0
+        if len(best) == k:
+            lost += int((~survive(turned[at : at + 1], turned[best], products[best[-1:]])[0]).sum())
+    if not shares:
+        return 1.0
+    return float(np.quantile(shares, min(1.0, TARGET_RECALL / (1 - lost / len(shares)))))
+
+
+def survive(q: np.ndarray, x: np.ndarray, bars: np.ndarray) -> np.ndarray:
+    """Which rotated candidates pass all tests of each rotated query."""
+    size, alive, partial = q.shape[1], np.ones((len(q), len(x)), bool), np.zeros((len(q), len(x)))
+    lengths = np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
+    for last in range(COLUMN_BLOCK, size, COLUMN_BLOCK):
+        block = slice(last - COLUMN_BLOCK, last)
+        partial += q[:, block] @ x[:, block].T
+        rests = np.outer(np.linalg.norm(q[:, last:], axis=1), np.linalg.norm(x[:, last:], axis=1))
+        alive &= ~abandoned(partial, last, size, lengths, rests, bars[:, None] - 1e-9 * (1 + lengths))
+    return alive
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -126,18 +161,27 @@ def fit(vectors: DataFrame, rows: int, k: int) -> Index:
     return index
 
 
-def best_of(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray, ids: np.ndarray, bars: np.ndarray, k: int):
+def best_of(
+    queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray, ids: np.ndarray, bars: np.ndarray, k: int,
+    probed: np.ndarray | None = None, left: list | None = None,
+):
     """For each query its up to k best of the candidates, as (query position, id, score).
 
-    ``bars``: products that the k-th best of each query is known to reach.
+    ``bars``: products that the k-th best of each query is known to reach. ``probed``: which
+    candidates are in lists that a query probes. ``left`` takes the number of candidates before the
+    first block and after each.
     """
     size = queries.shape[1]
     turn = rotation(size)
     q, x = queries @ turn, found @ turn
     bars = bars.copy()
+    lengths = np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
     # Rounding must neither abandon nor part ties, so all that are close to the bar are scored exactly.
-    slack = 1e-9 * (1 + np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max(initial=0))
+    slack = 1e-9 * (1 + lengths.max(axis=1, initial=0))
     alive = query_ids[:, None] != ids[None, :]
+    if probed is not None:
+        alive &= probed
+    counts = [int(alive.sum())]
     partial = np.zeros(alive.shape)
     for first in range(0, size, COLUMN_BLOCK):
         last = min(size, first + COLUMN_BLOCK)
@@ -149,8 +193,11 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, found: np.ndarray, ids:
                 at = slice(part, part + (1 << 18))
                 partial[a[at], b[at]] += np.einsum("ij,ij->i", q[a[at], first:last], x[b[at], first:last])
         if last < size:
-            most = np.linalg.norm(q[:, last:], axis=1)[:, None] * np.linalg.norm(x[:, last:], axis=1)
-            alive &= partial + most >= (bars - slack)[:, None]
+            rests = np.outer(np.linalg.norm(q[:, last:], axis=1), np.linalg.norm(x[:, last:], axis=1))
+            alive &= ~abandoned(partial, last, size, lengths, rests, (bars - slack)[:, None])
+        counts.append(int(alive.sum()))
+    if left is not None:
+        left.append(counts)
     partial[~alive] = -np.inf
     if len(ids) > k:
         own = np.partition(partial, len(ids) - k, axis=1)[:, len(ids) - k]
@@ -167,17 +214,21 @@ SCAN = "query_id bigint, vec_id bigint, score double"
 
 
 def scan_cells(cells: DataFrame, k: int) -> DataFrame:
-    """Best candidates of each cell ``(list, chunk, block)`` for each of its queries."""
+    """Best candidates of each cell ``(chunk, block)`` for each of its queries. ``lists``: the own
+    list of a candidate, or those of the chunk that a query probes."""
 
     def run(table: pa.Table) -> pa.Table:
         is_query = table["bar"].is_valid().to_numpy()
         vectors = matrix(table["v"].combine_chunks())
-        ids = table["id"].to_numpy()
+        ids, lists = table["id"].to_numpy(), table["lists"].to_pylist()
         out: tuple[list, list, list] = ([], [], [])
         if is_query.any() and not is_query.all():
+            own = np.array([x[0] for x, asks in zip(lists, is_query) if not asks])
+            probed = np.stack([np.isin(own, x) for x, asks in zip(lists, is_query) if asks])
             asked = ids[is_query]
             bars = table["bar"].to_numpy()[is_query]
-            for query, near, scores in best_of(vectors[is_query], asked, vectors[~is_query], ids[~is_query], bars, k):
+            found = best_of(vectors[is_query], asked, vectors[~is_query], ids[~is_query], bars, k, probed)
+            for query, near, scores in found:
                 out[0].append(np.full(len(near), asked[query]))
                 out[1].append(near)
                 out[2].append(scores)
@@ -187,34 +238,52 @@ def scan_cells(cells: DataFrame, k: int) -> DataFrame:
             "score": pa.array(columns[2].astype(np.float64)),
         })
 
-    return cells.groupBy("list", "chunk", "block").applyInArrow(run, SCAN)
+    return cells.groupBy("chunk", "block").applyInArrow(run, SCAN)
 
 
-def place(vectors: DataFrame, index: Index, probed: bool, least: int) -> DataFrame:
-    """``(id, v, list, first)``: the own list of each vector, or the lists that a query probes,
-    of which the nearest are marked as first."""
+def own_lists(vectors: DataFrame, index: Index) -> DataFrame:
+    """``(id, v, list)``: each vector and its list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = matrix(batch.column(1)) if batch.num_rows else np.empty((0, 1))
-            if probed:
-                lists = [index.probes(point, least) for point in points]
-            else:
-                lists = [[x] for x in (index.nearest(points) if len(points) else [])]
-            sizes = np.array([len(x) for x in lists], np.int64)
-            flat = np.concatenate(lists).astype(np.int32) if len(lists) else np.empty(0, np.int32)
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
-            first = np.concatenate([np.arange(n) < max(1, FIRST_PART * n) for n in sizes] or [np.empty(0, bool)])
-            # Few rows at a time: a query is repeated for each of its lists.
-            for begin in range(0, len(flat), 20_000):
-                part = slice(begin, begin + 20_000)
-                take = rows[part]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(flat[part]), pa.array(first[part])],
-                    ["id", "v", "list", "first"],
-                )
-
-    return map_batches(vectors, run, "id bigint, v array<double>, list int, first boolean")
+            lists = index.nearest(matrix(batch.column(1))) if batch.num_rows else np.empty(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists.astype(np.int32))], ["id", "v", "list"])
+
+    return map_batches(vectors, run, "id bigint, v array<double>, list int")
+
+
+def probed_chunks(vectors: DataFrame, index: Index, chunk_of: np.ndarray, least: int) -> DataFrame:
+    """``(id, pack, lists, first)``: for each query the packs of lists it probes, with those lists;
+    ``first`` marks the nearest. Vectors are left behind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for key, point in zip(batch.column(0).to_pylist(), matrix(batch.column(1)) if batch.num_rows else ()):
+                lists = index.probes(point, least)
+                first = np.arange(len(lists)) < max(1, FIRST_PART * len(lists))
+                for near in (True, False):
+                    chosen = lists[first == near]
+                    packs = chunk_of[chosen]
+                    rows += [(key, int(pack), chosen[packs == pack].tolist(), near) for pack in np.unique(packs)]
+            columns = list(zip(*rows)) or [(), (), (), ()]
+            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(columns, kinds)], ["id", "pack", "lists", "first"]
+            )
+
+    return map_batches(vectors, run, "id bigint, pack int, lists array<int>, first boolean")
+
+
+def packs_of(sizes: np.ndarray) -> np.ndarray:
+    """Pack of each list: lists side by side until they hold CHUNK_ROWS vectors."""
+    packs, pack, held = [], 0, 0
+    for size in sizes:
+        if held and held + size > CHUNK_ROWS:
+            pack, held = pack + 1, 0
+        packs.append(pack)
+        held += int(size)
+    return np.array(packs, np.int32)
 
 
 def top(found: DataFrame, k: int) -> DataFrame:
@@ -232,41 +301,41 @@ def search(df: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: st
     if not rows:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = fit(vectors, rows, k)
-    listed = materialize(place(vectors, index, False, 0).drop("first"), "lists")
+    listed = materialize(own_lists(vectors, index), "lists")
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}
     index.sizes = np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
-    asked = materialize(
-        place(vectors.where(is_query(F.col("id"))), index, True, k + 1), "asked"
-    )
-    counted = asked.groupBy("list").agg(F.count("*").alias("queries"))
-    grid = counted.collect()
-    chunks = {i: -(-int(n) // CHUNK_ROWS) for i, n in enumerate(index.sizes)}
-    blocks = {r["list"]: -(-int(r["queries"]) // BLOCK_QUERIES) for r in grid}
-    table = df.sparkSession.createDataFrame(
-        [(i, chunks[i], blocks.get(i, 0)) for i in range(len(index.centroids))], "list int, chunks int, blocks int"
-    )
-    table = F.broadcast(table)  # one row a list, MOST_LISTS at most
+    pack_of = packs_of(index.sizes)
+    asking = vectors.where(is_query(F.col("id")))
+    asked = materialize(probed_chunks(asking, index, pack_of, k + 1), "asked")
+    grid = {r["pack"]: r["queries"] for r in asked.groupBy("pack").agg(F.count_distinct("id").alias("queries")).collect()}
+    held = np.bincount(pack_of, index.sizes, minlength=int(pack_of[-1]) + 1).astype(int)
+    # One row a list, MOST_LISTS at most.
+    table = F.broadcast(df.sparkSession.createDataFrame(
+        [(i, int(pack)) for i, pack in enumerate(pack_of)], "list int, pack int"
+    ))
+    packs = F.broadcast(df.sparkSession.createDataFrame(
+        [(i, -(-int(n) // CHUNK_ROWS), -(-grid.get(i, 0) // BLOCK_QUERIES)) for i, n in enumerate(held)],
+        "pack int, chunks int, blocks int",
+    ))
 
     def salt(count: str):
-        return F.when(F.col(count) > 0, F.pmod(F.xxhash64("id"), F.col(count)).cast("int"))
+        return F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
 
     def cells(queries: DataFrame, bars: DataFrame | None) -> DataFrame:
-        """Each candidate beside each block of queries, each query beside each chunk."""
-        both = ["id", "v", "bar", "list", "chunk", "block"]
+        """Each candidate beside each block of queries, each query beside each chunk of its packs."""
+        both = ["id", "v", "bar", "lists", F.struct("pack", "part").alias("chunk"), "block"]
         candidates = (
-            listed.join(table, "list").where("blocks > 0").withColumn("chunk", salt("chunks"))
+            listed.join(table, "list").join(packs, "pack").where("blocks > 0").withColumn("part", salt("chunks"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("bar", F.lit(None).cast("double")).select(both)
+            .withColumn("bar", F.lit(None).cast("double")).withColumn("lists", F.array("list")).select(both)
         )
-        queries = queries.join(table, "list").where("chunks > 0").withColumn("block", salt("blocks"))
+        queries = queries.join(packs, "pack").where("chunks > 0").withColumn("block", salt("blocks"))
         if bars is None:
             queries = queries.withColumn("bar", F.lit(float("-inf")))
         else:
-            queries = queries.join(bars, "id", "left").withColumn(
-                "bar", F.coalesce("bar", F.lit(float("-inf")))
-            )
-        queries = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(both)
-        return candidates.union(queries)
+            queries = queries.join(bars, "id", "left").withColumn("bar", F.coalesce("bar", F.lit(float("-inf"))))
+        queries = queries.join(asking, "id").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        return candidates.union(queries.select(both))
 
     # The nearest lists of each query set the bar for all others.
     first = materialize(scan_cells(cells(asked.where("first"), None), k), "first")
