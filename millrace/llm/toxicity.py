@@ -1,7 +1,10 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Grades run from 0 (not toxic) upwards. The labels only say toxic or not, so toxic rows of
-the fit are graded 1 to 3 by terciles of how many strongly toxic features they hold. One weight
+Grades run from 0 (not toxic) upwards. The labels only say toxic or not, so the grades are made:
+toxic rows of the fit are graded 1 to 3 by terciles of how many of 100 words are different insults.
+Insults are whole words strongly tied to the label in the other half of the fitted rows, so that no
+row is graded by a list that it taught. Severity is as good as that rule; nothing else says how
+toxic a text is. One weight
 per word or beginning of a word is shared by all ordered thresholds: P(grade <= k) = logistic(threshold_k - sum of
 weights of the text's distinct features). Outputs are the probability of each side, the
 expected grade (severity), and whether the text is toxic, which is when a grade of 1 or more
@@ -33,7 +36,7 @@ VOCABULARY = 2_048
 GRADES = 3
 #: Features in fewer fitted rows are not used.
 LEAST_ROWS = 3
-#: Deviations from which a feature counts as strongly toxic for grading.
+#: Deviations from which a word counts as an insult for grading.
 STRONG = 4.0
 L2, RATE, ROUNDS = 2e-5, 0.1, 300
 
@@ -127,41 +130,58 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches):
-            words = [sorted(features_of(x.as_py())) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.list_(pa.string()))], ["label", "words"]
-            )
+            texts = batch.column(2).to_pylist()
+            words = pa.array([sorted(features_of(x)) for x in texts], pa.list_(pa.string()))
+            sizes = pa.array([len(WORD.findall(x or "")) for x in texts], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], words, sizes], ["label", "half", "words", "size"])
 
+    half = (F.crc32(F.col("__key").cast("string")).bitwiseAND(F.lit(1 << 8)) > 0).cast("int")
     listed = materialize(
-        map_batches(known.select("__label", "__text"), split, "label int, words array<string>"), "words"
+        map_batches(
+            known.select("__label", half.alias("half"), "__text"), split, "label int, half int, words array<string>, size int"
+        ),
+        "words",
     )
     sizes = {r["label"]: r["count"] for r in listed.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return OrdinalModel({}, [])
-    share = sizes[1] / (sizes[0] + sizes[1])
-    seen = listed.select("label", F.explode("words").alias("word")).groupBy("word").agg(
-        F.count("*").alias("rows"), F.sum("label").alias("toxic")
-    )
-    deviations = (F.col("toxic") - F.col("rows") * share) / F.sqrt(F.col("rows") * share * (1 - share))
-    top = (
-        seen.where(F.col("rows") >= LEAST_ROWS).withColumn("z", deviations)
-        .orderBy(F.abs("z").desc(), "word").limit(VOCABULARY).select("word", "z").collect()
-    )
+    def tied(rows: DataFrame) -> DataFrame:
+        """``word`` and ``z``: by how many deviations a feature is more common in toxic rows."""
+        known = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+        share = known.get(1, 0) / max(1, sum(known.values()))
+        seen = rows.select("label", F.explode("words").alias("word")).groupBy("word").agg(
+            F.count("*").alias("rows"), F.sum("label").alias("toxic")
+        )
+        spread = F.sqrt(F.col("rows") * share * (1 - share))
+        z = F.when(spread > 0, (F.col("toxic") - F.col("rows") * share) / spread).otherwise(0.0)
+        return seen.where(F.col("rows") >= LEAST_ROWS).withColumn("z", z)
+
+    top = tied(listed).orderBy(F.abs("z").desc(), "word").limit(VOCABULARY).select("word", "z").collect()
     index = {r["word"]: i for i, r in enumerate(top)}
+    insults = [
+        {
+            r["word"]
+            for r in tied(listed.where(F.col("half") == number)).where((F.col("z") >= STRONG) & ~F.startswith("word", F.lit("^")))
+            .orderBy(F.desc("z"), "word").limit(VOCABULARY).collect()
+        }
+        for number in (0, 1)
+    ]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches):
-            hits = [[index[w] for w in words if w in index] for words in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hits, pa.list_(pa.int32()))], ["label", "hits"])
-
-    found = map_batches(listed, find, "label int, hits array<int>").toArrow()
-    toxic = found["label"].to_numpy()
+            words = batch.column(2).to_pylist()
+            hits = pa.array([[index[w] for w in row if w in index] for row in words], pa.list_(pa.int32()))
+            found = pa.array([
+                100 * sum(w in insults[1 - half] for w in row) / max(size, 1)
+                for row, half, size in zip(words, batch.column(1).to_pylist(), batch.column(3).to_pylist())
+            ], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), hits, found], ["label", "hits", "evidence"])
+
+    found = map_batches(listed, find, "label int, hits array<int>, evidence double").toArrow()
+    toxic, evidence = found["label"].to_numpy(), found["evidence"].to_numpy()
     hits = found["hits"].combine_chunks()
-    lengths = hits.value_lengths().to_numpy()
     columns = hits.flatten().to_numpy()
-    rows = np.repeat(np.arange(len(toxic)), lengths)
-    strong = np.array([r["z"] >= STRONG for r in top], bool)
-    evidence = np.bincount(rows, strong[columns] if len(columns) else None, len(toxic))
+    rows = np.repeat(np.arange(len(toxic)), hits.value_lengths().to_numpy())
     cuts = np.quantile(evidence[toxic == 1], [i / GRADES for i in range(1, GRADES)])
     grades = np.where(toxic == 1, 1 + (evidence[:, None] > cuts).sum(axis=1), 0)
     grades = np.unique(grades, return_inverse=True)[1]

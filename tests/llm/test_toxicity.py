@@ -62,3 +62,46 @@ def test_without_both_labels_nothing_is_toxic(spark):
 def test_query_covers_the_table(spark, small):
     rows = QUERIES["op4_toxicity"](spark, small).collect()
     assert len(rows) == spark.read.parquet(f"{small}/documents.parquet").count()
+
+
+def loss(parameters, rows, columns, grades, size):
+    """Penalised loss of weights and thresholds, as the definition has it."""
+    weights, cuts = parameters[:size], parameters[size:]
+    total = np.bincount(rows, weights[columns], len(grades))
+    below = 1 / (1 + np.exp(total[:, None] - cuts))
+    full = np.concatenate([np.zeros((len(grades), 1)), below, np.ones((len(grades), 1))], axis=1)
+    at = np.arange(len(grades))
+    chance = np.maximum(full[at, grades + 1] - full[at, grades], 1e-12)
+    return -np.log(chance).mean() + toxicity.L2 / 2 * (weights**2).sum()
+
+
+def test_fit_against_a_slow_descent():
+    """Numeric gradients and small steps that only go down end where the fit does."""
+    rng = np.random.default_rng(11)
+    grades = rng.integers(0, 4, 400)
+    rows, columns = np.nonzero(rng.random((400, 5)) < (0.1 + 0.2 * grades[:, None] * (np.arange(5) < 2)))
+    weights, cuts = toxicity.fit_thresholds(rows, columns, grades, 5)
+    given = (rows, columns, grades, 5)
+    at, step = np.concatenate([np.zeros(5), [-1.0, 0.0, 1.0]]), 1.0
+    for _ in range(600):
+        gradient = np.array([(loss(at + e, *given) - loss(at - e, *given)) / 2e-5 for e in 1e-5 * np.eye(8)])
+        while step > 1e-9 and loss(at - step * gradient, *given) > loss(at, *given):
+            step /= 2
+        at, step = at - step * gradient, step * 1.5
+    assert loss(np.concatenate([weights, cuts]), *given) <= loss(at, *given) + 1e-3
+    assert np.allclose(weights, at[:5], atol=0.1) and np.allclose(cuts, at[5:], atol=0.1)
+
+
+def test_a_tie_counts_as_toxic():
+    model = toxicity.OrdinalModel({"bad": 2.0, "worse": 1.0}, [2.0, 4.0])
+    assert model.judge("bad")[::2] == (0.5, True)
+    assert model.judge("worse")[2] is False and model.judge(None)[2] is False
+    assert model.judge("bad worse")[1] > model.judge("bad")[1]
+
+
+def test_severity_follows_the_insults(spark, model):
+    """Held-out toxic documents with more insults per word are graded higher."""
+    texts = [(1, "fine " * 40), (2, "stupid " + "fine " * 40), (3, "stupid worthless scum idiot moron pathetic garbage loser")]
+    made = spark.createDataFrame(texts, "doc_id long, text string")
+    severity = {r["doc_id"]: r["severity"] for r in toxicity.score(made, model).collect()}
+    assert severity[1] < severity[2] <= severity[3]
