@@ -92,8 +92,9 @@ VALUE = "|".join([
     rf"(?<={NAMED}[\"'`]?|{SCHEME})[^\s\"'`<>,;]*[^\s\"'`<>,;.)\]}}]",
     rf"[{KEY_CHARACTERS}]{{{LEAST_LENGTH},}}+(?:={{1,2}}(?![{KEY_CHARACTERS}=]))?",
 ])
-#: Text before a candidate and the candidate; both end to end are the text.
-PIECE = rf"(?s)(.*?(?:{BEGIN}))({VALUE}|)"
+#: Text before a candidate and the candidate; both end to end are the text. No candidate begins inside
+#: a run of small letters, so runs are passed at once.
+PIECE = rf"(?s)((?:(?!{BEGIN})(?:[a-z]++|.))*+(?:{BEGIN}))({VALUE}|)"
 #: Stand between the two, and behind them.
 PART, END = "\uFDD0", "\uFDD1"
 #: Letters a-z, then digits, then all else.
@@ -203,7 +204,8 @@ def candidates(docs: DataFrame, keys: list[Column], text: Column) -> DataFrame:
     """The keys, ``start``, ``value``, ``before``, ``after`` and ``copies`` of each candidate; rows that
     agree in all keys are copies of one text."""
     names = [f"key_{i}" for i in range(len(keys))]
-    readable = F.translate(whole(text), PART + END, "\uFFFD\uFFFD")
+    given = F.contains(text, F.lit(PART)) | F.contains(text, F.lit(END))
+    readable = F.when(given, F.translate(text, PART + END, "\uFFFD\uFFFD")).otherwise(whole(text))
     # One pass of the pattern: it marks where candidates begin and end, and the marks are cut at.
     marked = F.split(F.regexp_replace(readable, PIECE, f"$1{PART}$2{END}"), END)
     pieces = docs.select(*[key.alias(name) for key, name in zip(keys, names)], once(all=marked).alias("p")).select(
