@@ -211,20 +211,29 @@ def candidates(docs: DataFrame, keys: list[Column], text: Column) -> DataFrame:
     pieces = docs.select(*[key.alias(name) for key, name in zip(keys, names)], once(all=marked).alias("p")).select(
         *names, F.col("p.all").alias("pieces")
     )
+    # The last piece is what stands behind the last mark: nothing. The one before it has no value.
+    halves = F.transform("pieces", lambda piece: F.struct(
+        F.substring_index(piece, PART, 1).alias("gap"), F.substring_index(piece, PART, -1).alias("value")
+    ))
+    parts = pieces.where(F.size("pieces") > 2).select(*names, once(all=halves).alias("p")).select(
+        *names, F.col("p.all").alias("parts")
+    )
 
-    def candidate(piece: Column, at: Column) -> Column:
-        gap = F.substring_index(piece, PART, 1)
-        last = F.when(at > 0, F.replace(F.get("pieces", at - 1), F.lit(PART), F.lit(""))).otherwise("")
+    def candidate(part: Column, at: Column) -> Column:
+        last = F.when(at > 0, F.get("parts", at - 1))
         return F.struct(
-            F.length(gap).alias("skip"),
-            F.substring_index(piece, PART, -1).alias("value"),
-            F.right(F.concat(last, gap), F.lit(NEAR)).alias("before"),
-            F.left(F.substring_index(F.coalesce(F.get("pieces", at + 1), F.lit("")), PART, 1), F.lit(NEAR)).alias("after"),
+            F.length(part["gap"]).alias("skip"),
+            part["value"].alias("value"),
+            F.substring(F.concat_ws(
+                "", F.substring(last["gap"], -NEAR, NEAR), F.substring(last["value"], -NEAR, NEAR),
+                F.substring(part["gap"], -NEAR, NEAR),
+            ), -NEAR, NEAR).alias("before"),
+            F.substring(F.coalesce(F.get("parts", at + 1)["gap"], F.lit("")), 1, NEAR).alias("after"),
         )
 
-    # The last piece is what stands behind the last mark: nothing.
-    listed = pieces.where(F.size("pieces") > 2).select(
-        *names, F.posexplode(F.slice(F.transform("pieces", candidate), F.lit(1), F.size("pieces") - 1)).alias("at", "c")
+    # Outer, as Spark would else test the array first by making it twice; each row has an item.
+    listed = parts.select(
+        *names, F.posexplode_outer(F.slice(F.transform("parts", candidate), F.lit(1), F.size("parts") - 2)).alias("at", "c")
     )
     single = listed.where("c.value <> ''").groupBy(*names, "at").agg(F.first("c").alias("c"), F.count("*").alias("copies"))
     order = Window.partitionBy(*names).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
