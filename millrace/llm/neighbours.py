@@ -6,8 +6,8 @@ rotated by a random orthogonal matrix, so that any m of d columns are a fair sam
 product: d / m times the partial product estimates it, with a standard error that follows from
 the lengths of the two vectors. After each column block a candidate is abandoned if the estimate
 plus DEVIATIONS standard errors stays below the k-th best product so far, which happens to a true
-neighbour once in about 700 tests, or if the lengths of the unseen rests cannot bring it there at
-all. Survivors are scored exactly on the original vectors in double precision.
+neighbour once in about 700 tests at most. Survivors are scored exactly on the original vectors
+in double precision.
 
 Centroids and the share come from a sample of at most FIT_ROWS vectors: the smallest share
 that, with the losses of the same tests, finds TARGET_RECALL of the sample queries' true
@@ -46,6 +46,8 @@ MOST_LISTS = 4_096
 #: Part of a query's lists, the nearest, that set its bar for the others.
 FIRST_PART = 0.1
 COLUMN_BLOCK = 16
+#: Share of pairs left from which they are followed one by one.
+FEW = 0.3
 CHUNK_ROWS, BLOCK_QUERIES = 2_048, 512
 SEED = 42
 
@@ -87,16 +89,15 @@ def fit_centroids(sample: np.ndarray, lists: int) -> np.ndarray:
     return centres
 
 
-def abandoned(partial, done: int, size: int, lengths, rests, bars):
-    """Whether candidates fail after ``done`` of ``size`` columns: by test, or for sure.
+def spread_of(lengths: np.ndarray, bars: np.ndarray) -> np.ndarray:
+    """Standard error of an estimate from one column in many, of a product that just reaches its bar."""
+    return np.sqrt(lengths**2 + np.minimum(bars, lengths) ** 2)
 
-    ``partial``: products so far; ``lengths`` and ``rests``: products of the lengths of both vectors,
-    whole and in the columns to come; ``bars``: products to reach. A product that equals the bar has
-    the standard error of the test.
-    """
-    error = np.sqrt((1 / done - 1 / size) * (lengths**2 + np.minimum(bars, lengths) ** 2))
-    unlikely = partial * (size / done) + DEVIATIONS * error < bars
-    return np.where(np.isfinite(bars), unlikely, False) | (partial + rests < bars)
+
+def cutoff(done: int, size: int, bars: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Partial product after ``done`` of ``size`` columns below which a candidate is abandoned: scaled up,
+    it is DEVIATIONS standard errors under the bar."""
+    return (bars - DEVIATIONS * np.sqrt(1 / done - 1 / size) * spread) * (done / size)
 
 
 def fit_share(sample: np.ndarray, index: Index, k: int) -> float:
@@ -125,11 +126,12 @@ def survive(q: np.ndarray, x: np.ndarray, bars: np.ndarray) -> np.ndarray:
     """Which rotated candidates pass all tests of each rotated query."""
     size, alive, partial = q.shape[1], np.ones((len(q), len(x)), bool), np.zeros((len(q), len(x)))
     lengths = np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
+    bars = bars[:, None] - 1e-9 * (1 + lengths)
+    spread = spread_of(lengths, bars)
     for last in range(COLUMN_BLOCK, size, COLUMN_BLOCK):
         block = slice(last - COLUMN_BLOCK, last)
         partial += q[:, block] @ x[:, block].T
-        rests = np.outer(np.linalg.norm(q[:, last:], axis=1), np.linalg.norm(x[:, last:], axis=1))
-        alive &= ~abandoned(partial, last, size, lengths, rests, bars[:, None] - 1e-9 * (1 + lengths))
+        alive &= partial >= cutoff(last, size, bars, spread)
     return alive
 
 
@@ -174,40 +176,47 @@ def best_of(
     size = queries.shape[1]
     turn = rotation(size)
     q, x = queries @ turn, found @ turn
-    bars = bars.copy()
     lengths = np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
     # Rounding must neither abandon nor part ties, so all that are close to the bar are scored exactly.
     slack = 1e-9 * (1 + lengths.max(axis=1, initial=0))
+    bars = bars - slack
+    spread = spread_of(lengths, bars[:, None])
     alive = query_ids[:, None] != ids[None, :]
     if probed is not None:
         alive &= probed
     counts = [int(alive.sum())]
-    partial = np.zeros(alive.shape)
+    partial, a, b = np.zeros(alive.shape), None, None
     for first in range(0, size, COLUMN_BLOCK):
         last = min(size, first + COLUMN_BLOCK)
-        if alive.mean() > 0.3:
+        if a is None:
             partial += q[:, first:last] @ x[:, first:last].T
+            if last < size:
+                alive &= partial >= cutoff(last, size, bars[:, None], spread)
+            if alive.mean() < FEW or last == size:
+                # From here on only the pairs that are left.
+                a, b = np.nonzero(alive)
+                sums = partial[a, b]
         else:
-            a, b = np.nonzero(alive)
             for part in range(0, len(a), 1 << 18):
                 at = slice(part, part + (1 << 18))
-                partial[a[at], b[at]] += np.einsum("ij,ij->i", q[a[at], first:last], x[b[at], first:last])
-        if last < size:
-            rests = np.outer(np.linalg.norm(q[:, last:], axis=1), np.linalg.norm(x[:, last:], axis=1))
-            alive &= ~abandoned(partial, last, size, lengths, rests, (bars - slack)[:, None])
-        counts.append(int(alive.sum()))
+                sums[at] += np.einsum("ij,ij->i", q[a[at], first:last], x[b[at], first:last])
+            if last < size:
+                left_over = sums >= cutoff(last, size, bars[a], spread[a, b])
+                a, b, sums = a[left_over], b[left_over], sums[left_over]
+        counts.append(int(alive.sum()) if a is None else len(a))
     if left is not None:
         left.append(counts)
-    partial[~alive] = -np.inf
-    if len(ids) > k:
-        own = np.partition(partial, len(ids) - k, axis=1)[:, len(ids) - k]
-        bars = np.maximum(bars, own)
-    a, b = np.nonzero(alive & (partial >= (bars - slack)[:, None]))
-    for query in np.unique(a):
-        own = b[a == query]
-        scores = (queries[query] * found[own]).sum(axis=1)
-        order = np.lexsort((ids[own], -scores))[:k]
-        yield query, ids[own][order], scores[order]
+    ends = np.searchsorted(a, np.arange(len(q) + 1))
+    for query in range(len(q)):
+        own, reached = b[ends[query] : ends[query + 1]], sums[ends[query] : ends[query + 1]]
+        bar = bars[query]
+        if len(own) > k:
+            bar = max(bar, np.partition(reached, len(own) - k)[len(own) - k] - slack[query])
+        own = own[reached >= bar]
+        if len(own):
+            scores = (queries[query] * found[own]).sum(axis=1)
+            order = np.lexsort((ids[own], -scores))[:k]
+            yield query, ids[own][order], scores[order]
 
 
 SCAN = "query_id bigint, vec_id bigint, score double"

@@ -112,6 +112,7 @@ def test_error_level_of_the_test():
             lengths, products = np.linalg.norm(q) * np.linalg.norm(x, axis=1), x @ rotated
             for done in range(16, size, 16):
                 partial = x[:, :done] @ rotated[:done]
-                failed += neighbours.abandoned(partial, done, size, lengths, np.full(20, np.inf), products).sum()
+                least = neighbours.cutoff(done, size, products, neighbours.spread_of(lengths, products))
+                failed += (partial < least).sum()
                 tests += 20
         assert failed / tests < 0.004
