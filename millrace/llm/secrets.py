@@ -51,7 +51,7 @@ NEAR = 48
 #: Letters and occurrences that a word of the dictionary has at least.
 DICTIONARY_LETTERS, DICTIONARY_TIMES = 3, 5
 FIT_ROWS, MADE_LINES, MADE_WORDS = 10_000, 8_000, 200
-TREES, DEPTH, SEED = 40, 10, 42
+TREES, DEPTH, BINS, SEED = 30, 10, 16, 42
 THRESHOLD = 0.5
 MARK = "[SECRET]"
 
@@ -334,7 +334,7 @@ def train(labelled: DataFrame, made: DataFrame) -> Forest:
         )
     # Stored in one order, so that the trees come out the same again.
     sample = materialize(sample.orderBy("label", "numbers").coalesce(1), "findings")
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, maxBins=BINS, seed=SEED).fit(
         sample.select("label", array_to_vector("numbers").alias("features"))
     )
     forest = Forest()
