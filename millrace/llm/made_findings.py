@@ -104,6 +104,7 @@ class Maker:
             lambda: (f"https://{self.word()}.org/{self.word()}?{self.pick(*PARAMETERS)}={plain}", plain),
             lambda: (f"Authorization: {self.pick('Bearer', 'Basic', 'bearer')} {key}", key),
             lambda: (self.pick(known, f"{self.word()} {known}", self.assigned(known, self.pick("key", "id", name))), known),
+            lambda: (self.pick(known, f"{self.word()} {known}", f"{self.word()}: {known}"), known),
             lambda: (f"{self.word()}\n{pem}", pem),
         )()
 

@@ -334,9 +334,10 @@ def train(labelled: DataFrame, made: DataFrame) -> Forest:
         )
     # Stored in one order, so that the trees come out the same again.
     sample = materialize(sample.orderBy("label", "numbers").coalesce(1), "findings")
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, maxBins=BINS, seed=SEED).fit(
-        sample.select("label", array_to_vector("numbers").alias("features"))
+    classifier = RandomForestClassifier(
+        numTrees=TREES, maxDepth=DEPTH, maxBins=BINS, seed=SEED, featureSubsetStrategy="onethird"
     )
+    model = classifier.fit(sample.select("label", array_to_vector("numbers").alias("features")))
     forest = Forest()
     forest.roots = [forest.add(tree._call_java("rootNode")) for tree in model.trees]
     return forest
