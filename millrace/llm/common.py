@@ -14,7 +14,7 @@ BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows of an Arrow batch that Python workers get.
-BATCH_ROWS = 1_000
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
