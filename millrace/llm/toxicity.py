@@ -41,7 +41,7 @@ STRONG = 4.0
 L2, RATE, ROUNDS = 2e-5, 0.1, 300
 
 #: Texts whose features a worker holds at once.
-SLICE_ROWS = 64
+SLICE_ROWS = 32
 #: Lengths of the beginnings of words that are features.
 BEGINNINGS = (5, 6, 7, 8)
 WORD = re.compile(r"[^\W\d_]+")
