@@ -1,8 +1,12 @@
 """A training-data pipeline of five stages, each written to Parquet and read by the next.
 
-Every stage but the last returns the columns of ``documents``. Null and empty texts are
-clean, are copies of each other, hold no benchmark words and no secrets, and encode to no
-ids. An empty table stays empty through all stages.
+Every stage but the last returns the columns of ``documents``, whatever else they are called. Null
+and empty texts are clean, are copies of each other, hold no benchmark words and no secrets, and
+encode to no ids. Of rows that repeat an id and a text one stays; rows that share an id but not a
+text are judged each. Ties: a text that is as likely toxic as not goes, the smallest id of a group
+of copies stays, a document with just a twentieth of benchmark words goes, and a candidate with
+half of the votes is a secret. Texts are read whole, however long. An empty table stays empty
+through all stages.
 """
 
 from __future__ import annotations
