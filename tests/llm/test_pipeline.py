@@ -62,9 +62,10 @@ def test_stages_in_turn(spark, tmp_path):
 
 
 def test_run_and_odd_tables(spark, tmp_path):
-    """Nulls, empty texts, repeated rows and extra columns pass all stages; so does an empty table."""
+    """Nulls, empty and very long texts, repeated rows and extra columns pass all stages; so does an empty table."""
     token = 'see token = "abcdef0123456789abcdef0123456789abcd" here'
-    rows = [(1, None, 0, "x"), (2, "", 0, "x"), (None, None, 0, "x"), (3, token, 9, "y"), (3, token, 9, "y"), (4, "words " * 9, 1, None)]
+    rows = [(1, None, 0, "x"), (2, "", 0, "x"), (None, None, 0, "x"), (3, token, 9, "y"), (3, token, 9, "y"), (4, "words " * 9, 1, None),
+            (5, "some long words " * 20_000, 1, "z")]
     schema = "doc_id long, text string, n_chars long, words string"
     for name, data in (("full", rows), ("none", [])):
         folder = tmp_path / name
@@ -72,5 +73,5 @@ def test_run_and_odd_tables(spark, tmp_path):
         spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         found = corpus_pipeline.run(spark, str(folder)).collect()
-        want = [1, 3, 4, None] if data else []
+        want = [1, 3, 4, 5, None] if data else []
         assert sorted((r["doc_id"] for r in found), key=str) == sorted(want, key=str)
