@@ -1,10 +1,11 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
 Grades run from 0 (not toxic) upwards. The labels only say toxic or not, so the grades are made:
-toxic rows of the fit are graded 1 to 3 by terciles of how many of 100 words are different insults.
+toxic rows of the fit are graded 1 to 3 by terciles of how many different insults they hold.
 Insults are whole words strongly tied to the label in the other half of the fitted rows, so that no
 row is graded by a list that it taught. Severity is as good as that rule; nothing else says how
-toxic a text is. One weight
+toxic a text is. Insults are counted, not set against the length: features say what a text holds and
+not how long it is, so grades by density would pull the shared weights against the label. One weight
 per word or beginning of a word is shared by all ordered thresholds: P(grade <= k) = logistic(threshold_k - sum of
 weights of the text's distinct features). Outputs are the probability of each side, the
 expected grade (severity), and whether the text is toxic, which is when a grade of 1 or more
@@ -132,14 +133,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         for batch in few_rows(batches):
             texts = batch.column(2).to_pylist()
             words = pa.array([sorted(features_of(x)) for x in texts], pa.list_(pa.string()))
-            sizes = pa.array([len(WORD.findall(x or "")) for x in texts], pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], words, sizes], ["label", "half", "words", "size"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], words], ["label", "half", "words"])
 
     half = (F.crc32(F.col("__key").cast("string")).bitwiseAND(F.lit(1 << 8)) > 0).cast("int")
     listed = materialize(
-        map_batches(
-            known.select("__label", half.alias("half"), "__text"), split, "label int, half int, words array<string>, size int"
-        ),
+        map_batches(known.select("__label", half.alias("half"), "__text"), split, "label int, half int, words array<string>"),
         "words",
     )
     sizes = {r["label"]: r["count"] for r in listed.groupBy("label").count().collect()}
@@ -171,13 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         for batch in few_rows(batches):
             words = batch.column(2).to_pylist()
             hits = pa.array([[index[w] for w in row if w in index] for row in words], pa.list_(pa.int32()))
-            found = pa.array([
-                100 * sum(w in insults[1 - half] for w in row) / max(size, 1)
-                for row, half, size in zip(words, batch.column(1).to_pylist(), batch.column(3).to_pylist())
-            ], pa.float64())
+            halves = batch.column(1).to_pylist()
+            found = pa.array([sum(w in insults[1 - half] for w in row) for row, half in zip(words, halves)], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), hits, found], ["label", "hits", "evidence"])
 
-    found = map_batches(listed, find, "label int, hits array<int>, evidence double").toArrow()
+    found = map_batches(listed, find, "label int, hits array<int>, evidence int").toArrow()
     toxic, evidence = found["label"].to_numpy(), found["evidence"].to_numpy()
     hits = found["hits"].combine_chunks()
     columns = hits.flatten().to_numpy()

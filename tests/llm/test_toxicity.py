@@ -100,8 +100,27 @@ def test_a_tie_counts_as_toxic():
 
 
 def test_severity_follows_the_insults(spark, model):
-    """Held-out toxic documents with more insults per word are graded higher."""
+    """Texts with more insults are graded higher."""
     texts = [(1, "fine " * 40), (2, "stupid " + "fine " * 40), (3, "stupid worthless scum idiot moron pathetic garbage loser")]
     made = spark.createDataFrame(texts, "doc_id long, text string")
     severity = {r["doc_id"]: r["severity"] for r in toxicity.score(made, model).collect()}
     assert severity[1] < severity[2] <= severity[3]
+
+
+def test_long_texts_with_few_insults_are_caught(spark):
+    """Grades rise with the insults while lengths fall; the label must not suffer from that."""
+    rng = np.random.default_rng(23)
+    insults, filler = [f"insult{c}" for c in "abcdefghijkl"], [f"word{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    texts, marks = [], []
+    for i in range(1200):
+        toxic = i % 3 == 0
+        bad = 1 + i // 3 % 6 if toxic else 0
+        length = 360 - 58 * bad if toxic else int(rng.integers(10, 360))
+        words = [*rng.choice(insults, bad, replace=False), *rng.choice(filler, length)]
+        texts.append((i, " ".join(rng.permutation(words))))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    fitted = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    said = {r["doc_id"]: r["toxic"] for r in toxicity.score(docs, fitted).collect()}
+    assert np.mean([said[i] for i, toxic in marks if toxic]) > 0.95
+    assert np.mean([said[i] for i, toxic in marks if not toxic]) < 0.01
