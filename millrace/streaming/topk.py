@@ -2,8 +2,8 @@
 
 A count per item keeps a state row for every item ever seen. Here the state of a window is one
 frequent-items sketch of at most ``max_items`` counters. When the watermark passes a window, its
-sketch gives the window's candidates, and only then are the candidates counted, exactly, in the
-stored items of that window.
+sketch gives the window's candidates with estimates, and only then are those that can be among
+the first k counted, exactly, in the stored items of that window.
 
 A sketch of n counters misses no item of more than ERROR / n of the window's rows. So if the k-th
 candidate is above that, the result is exact as it stands; windows where it is not, as where all
@@ -18,16 +18,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from millrace.streaming.sinks import start_files
+from millrace.workspace import materialize
 
 MAX_ITEMS = 10_000
 # Twice the sketch's error for one counter: what it does not report has this share at most.
 ERROR = 7.0
 
 
+def missed(max_items: int) -> Column:
+    """What an item that the sketch does not report has at most; twice what an estimate is off."""
+    return F.col("total") * F.lit(ERROR / max_items)
+
+
 def candidate_windows(
     items: DataFrame, time: str, item: str, width: str, delay: str, max_items: int = MAX_ITEMS
 ) -> DataFrame:
-    """``start``, ``end``, ``total`` and ``candidates`` of each window, given once, when it is closed."""
+    """``start``, ``end``, ``total`` and ``candidates`` of each window, given once, when it is closed.
+
+    A candidate has ``item`` and ``estimate``; they are in falling order of the estimate. Left out
+    are those with no more rows than an item may have that the sketch does not report: they decide
+    no window, whatever k is.
+    """
     sketched = (
         items.where(F.col(item).isNotNull())
         .withWatermark(time, delay)
@@ -37,9 +48,9 @@ def candidate_windows(
             F.expr(f"approx_top_k(`{item}`, {max_items}, {max_items})").alias("top"),
         )
     )
-    return sketched.select(
-        "window.start", "window.end", "total", F.transform("top", lambda x: x["item"]).alias("candidates")
-    )
+    candidate = "array<struct<item: {}, estimate: bigint>>".format(items.schema[item].dataType.simpleString())
+    candidates = F.filter(F.col("top").cast(candidate), lambda x: x["estimate"] > missed(max_items) / 2)
+    return sketched.select("window.start", "window.end", "total", candidates.alias("candidates"))
 
 
 def start_topk(
@@ -68,6 +79,14 @@ def first_of_window(counted: DataFrame, item: str, k: int) -> DataFrame:
     return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def likely_items(windows: DataFrame, item: str, k: int, max_items: int = MAX_ITEMS) -> DataFrame:
+    """``start`` and the item of all candidates that can be among the first ``k`` of their window."""
+    # The k-th and the candidate itself are each off by half of this at most.
+    least = F.get("candidates", F.lit(k - 1))["estimate"] - missed(max_items)
+    likely = F.filter("candidates", lambda x: x["estimate"] >= F.coalesce(least, F.lit(0.0)))
+    return windows.select("start", F.explode(likely["item"]).alias(item))
+
+
 def exact_topk(
     items: DataFrame, windows: DataFrame, time: str, item: str, width: str, k: int, max_items: int = MAX_ITEMS
 ) -> DataFrame:
@@ -77,16 +96,16 @@ def exact_topk(
     def counts(chosen: DataFrame, keys: list[str]) -> DataFrame:
         return placed.join(chosen, keys, "left_semi").groupBy("start", item).agg(F.count("*").alias("count"))
 
-    candidates = windows.select("start", F.explode("candidates").alias(item))
-    found = first_of_window(counts(candidates, ["start", item]), item, k)
-    missed: Column = F.col("total") * F.lit(ERROR / max_items)
+    # A few rows a window: once stored, their size is known before the items are read and need not be shuffled.
+    likely = materialize(likely_items(windows, item, k, max_items), "likely-items")
+    found = materialize(first_of_window(counts(likely, ["start", item]), item, k), "likely-topk")
     sure = (
         found.groupBy("start").agg(F.min("count").alias("least"), F.count("*").alias("n"))
-        .join(windows, "start").where((F.col("n") == k) & (F.col("least") > missed)).select("start")
+        .join(windows, "start").where((F.col("n") == k) & (F.col("least") > missed(max_items))).select("start")
     )
-    unsure = windows.select("start").join(sure, "start", "left_anti")
+    unsure = materialize(windows.select("start").join(sure, "start", "left_anti"), "unsure-windows")
     rest = first_of_window(counts(unsure, ["start"]), item, k)
-    both = found.join(sure, "start", "left_semi").unionByName(rest)
+    both = found.join(unsure, "start", "left_anti").unionByName(rest)
     return both.join(windows.select("start", "end"), "start").select("start", "end", "rank", item, "count")
 
 

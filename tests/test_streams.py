@@ -335,6 +335,28 @@ def test_topk_of_windows_is_exact(spark, tmp_path, max_items):
     assert found == slow_topk(batches, 60, 990, 4)
 
 
+@pytest.mark.parametrize("max_items", [64, 1_000])
+def test_topk_counts_only_what_can_be_first(spark, tmp_path, max_items):
+    """Of hundreds of tags a window those near the k-th are kept and counted, ties included, also if estimates are off."""
+    often = {"a": 400, "b": 330, "d": 300, "c": 300, "e": 20}
+    batches = [
+        [(60 * b + s % 60, tag) for tag, n in often.items() for s in range(n)]
+        + [(60 * b + s % 60, f"single{b}-{s}") for s in range(500)]
+        for b in range(2)
+    ] + [[(1_000, "end")]]
+    stream = tag_rows(spark, str(tmp_path / "in"), batches)
+    for query in topk.start_topk(stream, "at", "tag", "1 minute", "10 seconds", str(tmp_path), max_items):
+        query.awaitTermination()
+    stored = spark.read.parquet(f"{tmp_path}/windows")
+    assert [r[0] for r in stored.select(F.max(F.size("candidates"))).collect()][0] <= len(often)
+    likely = topk.likely_items(stored, "tag", 3, max_items)
+    starts = {r["start"] for r in stored.collect()}
+    assert sorted(map(tuple, likely.collect())) == sorted((start, tag) for start in starts for tag in "abcd")
+    got = topk.read_topk(spark, str(tmp_path), "at", "tag", "1 minute", 3, max_items).orderBy("start", "rank")
+    found = [(int(r["start"].timestamp()), r["rank"], r["tag"], r["count"]) for r in got.collect()]
+    assert len(starts) == 2 and found == slow_topk(batches, 60, 990, 3)
+
+
 def test_state_of_topk_is_bounded(spark, tmp_path):
     """Ever new tags: the plain count keeps a row for each, the sketch one for each open window."""
     batches = [[(60 * b + s % 60, f"tag{b}-{s}") for s in range(300)] for b in range(5)]
